@@ -26,7 +26,7 @@ def corpus_claims(sections: DataFrame, keywords: Mapping[str, Sequence[str]] | N
              .otherwise("speaker_direct_claim"))
     return rows.select(
         F.concat(F.col("section_id").cast("string"), F.lit(".claim_"), F.lpad((F.col("_pos") + 1).cast("string"), 4, "0")).alias("claim_id"),
-        "section_id", "source_id", "family", "speaker", "published_at", "claim", "claim_type", "value_types", "themes", scope.alias("attribution_scope"),
+        (F.col("section_id") * 1_000_000 + F.col("_pos")).alias("pos"), "section_id", "source_id", "family", "speaker", "published_at", "claim", "claim_type", "value_types", "themes", scope.alias("attribution_scope"),
         F.array(F.concat(F.col("section_id").cast("string"), F.lit(".evidence"))).alias("evidence_ids"),
         F.array(F.col("section_id").cast("string")).alias("source_record_ids"), F.lit(0.97).alias("confidence"),
         X.corpus_importance("claim", "claim_type", "themes").alias("importance_score"),

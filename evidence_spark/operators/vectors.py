@@ -24,21 +24,17 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
 
 
-def l2(c: Column) -> Column:
-    """Unit length; the zero vector stays."""
-    norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
-    return F.transform(F.arrays_zip(c.alias("v"), F.transform(c, lambda _: norm).alias("n")), lambda z: z["v"].cast("double") / F.when(z["n"] == 0, 1.0).otherwise(z["n"]))
-
-
 def cosine(a: Column, b: Column) -> Column:
     """Dot product of unit vectors, clamped to [-1, 1]."""
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(a, b)))
 
 
 def unit(c: Column) -> Column:
+    """Unit length; the zero vector stays."""
     from evidence_spark.functions.text import let
 
-    return let(c, lambda v: let(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)),
+    wide = F.transform(c, lambda x: x.cast("double"))
+    return let(wide, lambda v: let(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)),
                                 lambda n: F.transform(v, lambda x: x / F.when(n == 0, 1.0).otherwise(n))))
 
 
@@ -190,28 +186,21 @@ def rectangle_baselines(source: DataFrame, target: DataFrame, k: int = 4, keys:
     """
     keys = list(keys)
     pairs = _tile_pairs(source, target, keys)
+    cols = pairs.columns
     schema = T.StructType([*[pairs.schema[c] for c in keys], T.StructField("side", T.StringType()), T.StructField("idx", T.LongType()), T.StructField("top", T.ArrayType(T.DoubleType()))])
 
     def run(parts):
         for part in parts:
             out = []
             for r in part.itertuples(index=False):
-                row = r._asdict() if hasattr(r, "_asdict") else r
-                key = [getattr(r, c) for c in keys]
-                a, b = list(part_a(r)), list(part_b(r))
+                key = [r[cols.index(c)] for c in keys]
+                a, b = list(r[cols.index("_a")]), list(r[cols.index("_b")])
                 m = _matrix(a, b)
                 for side, members, grid in (("a", a, m), ("b", b, m.T)):
                     best = -np.sort(-grid, axis=1)[:, :k]
                     out += [[*key, side, int(x["i"]), [float(v) for v in best[n]]] for n, x in enumerate(members)]
             yield pd.DataFrame(out, columns=schema.fieldNames())
 
-    def part_a(r):
-        return r[a_at]
-
-    def part_b(r):
-        return r[b_at]
-
-    a_at, b_at = pairs.columns.index("_a"), pairs.columns.index("_b")
     tops = pairs.mapInPandas(run, schema)
     g = tops.groupBy(*keys, "side", "idx").agg(F.slice(F.sort_array(F.flatten(F.collect_list("top")), asc=False), 1, k).alias("top"))
     return g.select(*keys, "side", "idx", (F.aggregate("top", F.lit(0.0), lambda s, v: s + v) / F.size("top")).alias("baseline"))
@@ -295,27 +284,56 @@ def rectangle_rank(source: DataFrame, target: DataFrame, fraction: float, kind:
     return placed.join(where, keys).where("_left >= _lo and _left < _lo + n").select(*keys, F.col("v").alias(name))
 
 
-def semantic_recall(claims: DataFrame, queries: DataFrame) -> DataFrame:
+#: recall questions are configuration; longer lists are split by the caller
+MAX_QUERIES = 256
+
+
+def semantic_recall(claims: DataFrame, queries: Sequence[tuple[str, Sequence[float], Sequence[str], Sequence[str]]]) -> DataFrame:
     """Score every claim against every query: 0.82 cosine + 0.08 theme hit + up to 0.08 for words + 0.02 importance.
 
-    ``claims`` has ``row_id, claim, vector, themes, importance``; ``queries`` has ``query, q_vector, q_themes, q_words`` and is a short list of questions;
-    its size is checked.
+    ``claims`` has ``row_id, claim, vector, themes, importance``; a query is (name, unit vector, themes, words). The queries are
+    literals of the projection, so claims are scored in place without a join or shuffle.
     """
-    n = queries.limit(1001).count()
-    if n > 1000:
-        raise ValueError("queries are a short list of questions; split larger lists into several calls")
-    # the list of questions becomes one array column, so claims are scored in place
-    packed = queries.agg(F.array_sort(F.collect_list(F.struct("query", "q_vector", "q_themes", "q_words"))).alias("_q"))
-    scalar = F.broadcast(packed)
-    rows = claims.join(scalar, F.lit(True)).select("*", F.explode("_q").alias("q")).drop("_q")
+    if len(queries) > MAX_QUERIES:
+        raise ValueError(f"at most {MAX_QUERIES} queries per call")
     low = F.lower("claim")
-    semantic = F.greatest(F.lit(0.0), cosine(F.col("vector"), F.col("q.q_vector")))
-    rows = rows.withColumn("semantic", semantic).withColumn("theme_hit", F.arrays_overlap("themes", "q.q_themes")).withColumn(
-        "n_words", F.size(F.filter("q.q_words", lambda w: F.contains(low, w))))
+    scored = []
+    for name, vector, themes, words in queries:
+        hits = F.lit(0)
+        for w in words:
+            hits = hits + F.when(F.contains(low, F.lit(w)), 1).otherwise(0)
+        theme = F.arrays_overlap("themes", F.array(*[F.lit(t) for t in themes])) if themes else F.lit(False)
+        scored.append(F.struct(F.lit(name).alias("query"), F.greatest(F.lit(0.0), cosine(F.col("vector"), F.lit(np.asarray(vector, dtype="float64")))).alias("semantic"),
+                               theme.alias("theme_hit"), hits.alias("n_words")))
+    rows = claims.select("row_id", "importance", F.explode(F.array(*scored)).alias("q")).select("row_id", "importance", "q.*")
     score = (0.82 * F.col("semantic") + F.when(F.col("theme_hit"), 0.08).otherwise(0.0) + F.least(F.lit(0.08), F.col("n_words") * 0.025) + 0.02 * F.col("importance"))
-    return rows.select("row_id", F.col("q.query").alias("query"), F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 6).alias("score"), F.round("semantic", 6).alias("semantic"),
+    return rows.select("row_id", "query", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 6).alias("score"), F.round("semantic", 6).alias("semantic"),
                        "theme_hit", "n_words", "importance")
 
 
 def best_query(scores: DataFrame) -> DataFrame:
     return scores.groupBy("row_id").agg(F.max_by(F.struct("query", "score"), F.struct("score", F.col("query"))).alias("_b")).select("row_id", "_b.*")
+
+
+def similar_pairs(rows: DataFrame, threshold: float, idx: str = "idx", vector: str = "vector") -> DataFrame:
+    """(left, right, similarity) of rows with cosine at or above ``threshold``, left before right.
+
+    Tiles of vectors are multiplied with each other and only pairs above the threshold leave a task.
+    """
+    one = rows.select(F.lit(1).alias("_one"), F.col(idx).alias("idx"), F.col(vector).alias("vector"))
+    pairs = _tile_pairs(one, one, ["_one"]).where("_ta <= _tb")
+    cols = pairs.columns
+    schema = "left long, right long, similarity double"
+
+    def run(parts):
+        for part in parts:
+            out = []
+            for r in part.itertuples(index=False):
+                a, b = list(r[cols.index("_a")]), list(r[cols.index("_b")])
+                m = _matrix(a, b)
+                for x, y in zip(*np.nonzero(m >= threshold)):
+                    if a[x]["i"] < b[y]["i"]:
+                        out.append([int(a[x]["i"]), int(b[y]["i"]), float(m[x, y])])
+            yield pd.DataFrame(out, columns=["left", "right", "similarity"])
+
+    return pairs.mapInPandas(run, schema)
