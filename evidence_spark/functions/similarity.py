@@ -2,13 +2,65 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: run lengths tried in turn when looking for the longest common block
+STEPS = (24, 6, 1)
+
+
+def _matched(a: str, b: str) -> tuple[int, int]:
+    """(characters in matching blocks, longest block): longest block first, then left and right of it.
+
+    A longest block is found as the longest run of shared grams, so long texts are walked by rare grams and not by single
+    letters. The first longest block in ``a``, then in ``b``, wins.
+    """
+    places: dict[int, dict[str, list[int]]] = {}
+
+    def index(k: int) -> dict[str, list[int]]:
+        if k not in places:
+            table: dict[str, list[int]] = {}
+            for j in range(len(b) - k + 1):
+                table.setdefault(b[j:j + k], []).append(j)
+            places[k] = table
+        return places[k]
+
+    total = longest = 0
+    work = [(0, len(a), 0, len(b), 0)]
+    while work:
+        alo, ahi, blo, bhi, level = work.pop()
+        run = at = bt = 0
+        while alo < ahi and blo < bhi:
+            k = STEPS[level]
+            if min(ahi - alo, bhi - blo) >= k:
+                table, before, stop = index(k), {}, bhi - k
+                for i in range(alo, ahi - k + 1):
+                    now = {}
+                    found = table.get(a[i:i + k])
+                    if found:
+                        for j in found[bisect_left(found, blo):] if found[0] < blo else found:
+                            if j > stop:
+                                break
+                            r = now[j] = before.get(j - 1, 0) + 1
+                            if r > run:
+                                run, at, bt = r, i - r + 1, j - r + 1
+                    before = now
+            if run or level == len(STEPS) - 1:
+                break
+            level += 1
+        if run:
+            size = run + STEPS[level] - 1
+            total += size
+            longest = max(longest, size)
+            work.append((alo, at, blo, bt, level))
+            work.append((at + size, ahi, bt + size, bhi, level))
+    return total, longest
+
+
 def _longest_common_subsequence(a: str, b: str) -> int:
     """Length by bit-parallel row updates: an upper bound for the characters in matching blocks."""
     where: dict[str, int] = {}
@@ -38,7 +90,7 @@ def ratio_of(a: str, b: str, at_least: float = 0.0) -> float:
             return 0.0
         if 2.0 * _longest_common_subsequence(a, b) / total < at_least:
             return 0.0
-    return SequenceMatcher(None, a, b, autojunk=False).ratio()
+    return 2.0 * _matched(a, b)[0] / total
 
 
 def block_ratio(a: Column, b: Column, at_least: float = 0.0) -> Column:
@@ -57,9 +109,7 @@ def longest_block(a: Column, b: Column) -> Column:
 
     @F.pandas_udf("long")
     def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([
-            SequenceMatcher(None, x, y, autojunk=False).find_longest_match().size for x, y in zip(left, right)
-        ], dtype="int64")
+        return pd.Series([_matched(x, y)[1] for x, y in zip(left, right)], dtype="int64")
 
     return run(a, b)
 
@@ -120,12 +170,10 @@ def anchor_of(x: str, y: str) -> float:
     lo, hi = anchor_bounds(x, y)
     if hi - lo < 1e-12:
         return round(hi, 6)
-    m = SequenceMatcher(None, x, y, autojunk=False)
-    # without junk, blocks never touch, so the longest one is the first one found
-    sizes = [block.size for block in m.get_matching_blocks()]
+    matched, longest = _matched(x, y)
     gx, gy = set(_grams(x)), set(_grams(y))
     shared = len(gx & gy) / max(1, min(len(gx), len(gy)))
-    return round(0.45 * (2.0 * sum(sizes) / (len(x) + len(y))) + 0.30 * max(sizes) / min(len(x), len(y)) + 0.25 * shared, 6)
+    return round(0.45 * (2.0 * matched / (len(x) + len(y))) + 0.30 * longest / min(len(x), len(y)) + 0.25 * shared, 6)
 
 
 def lexical_anchor(a: Column, b: Column) -> Column:
@@ -151,7 +199,7 @@ def text_score(a: Column, b: Column) -> Column:
             if x in y or y in x:
                 out.append(max(ratio_of(x, y), 0.92))
                 continue
-            ratio = SequenceMatcher(None, x, y, autojunk=False).ratio()
+            ratio = ratio_of(x, y)
             gx, gy = set(_grams(x, 5)), set(_grams(y, 5))
             out.append(max(ratio, len(gx & gy) / max(1, min(len(gx), len(gy)))))
         return pd.Series(out, dtype="float64")
