@@ -86,9 +86,9 @@ _UNIT = "list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_tran
 _BAND = f"""u AS (SELECT vec_id, label, {_UNIT} AS v FROM embeddings), band AS (SELECT a.vec_id AS "left", b.vec_id AS "right", round(greatest(-1, least(1, list_dot_product(a.v, b.v))), 6) AS score FROM u a JOIN u b ON b.vec_id BETWEEN a.vec_id - 10 AND a.vec_id + 10 WHERE a.label < 5 AND b.label >= 5)"""
 
 
-@query("v3_cosine", f'WITH {_BAND} SELECT "left", "right", round(score, 4) AS score FROM band')
+@query("v3_cosine", f'WITH {_BAND} SELECT "left", "right", score FROM band')
 def _(spark, sf):
-    return band_scores(spark, sf).withColumn("score", F.round("score", 4))
+    return band_scores(spark, sf)
 
 
 @query("j12_greedy_match")
@@ -117,9 +117,9 @@ def recall(spark, sf):
     return V.semantic_recall(c, protos)
 
 
-@query("v6_semantic_recall", f"WITH {_PROTO} SELECT row_id, query, round(score, 4) AS score FROM recall")
+@query("v6_semantic_recall", f"WITH {_PROTO} SELECT row_id, query, score FROM recall")
 def _(spark, sf):
-    return recall(spark, sf).select("row_id", "query", F.round("score", 4).alias("score"))
+    return recall(spark, sf).select("row_id", "query", "score")
 
 
 def _r2_sql():
