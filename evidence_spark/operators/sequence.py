@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from evidence_spark.functions import rules as R
 from evidence_spark.functions import text as X
 from evidence_spark.functions.similarity import block_ratio
-from evidence_spark.operators.fold import ordered_fold
+from evidence_spark.operators.fold import FOLD_BLOCK, ordered_fold
 from evidence_spark.operators.intervals import range_pairs
 from evidence_spark.operators.scan import islands, scan
 
@@ -46,7 +46,7 @@ def collapse_repeats(cues: DataFrame, keys: Sequence[str] = KEY, order: Sequence
     )
 
 
-def dedup_rolling(cues: DataFrame, keys: Sequence[str] = KEY, order: str = "seq") -> DataFrame:
+def dedup_rolling(cues: DataFrame, keys: Sequence[str] = KEY, order: str = "seq", block: int = FOLD_BLOCK) -> DataFrame:
     """Keep only the new words of captions that repeat the end of the caption before them.
 
     The longest prefix of a cue that equals the end of everything emitted so far is dropped. A cue with
@@ -83,12 +83,12 @@ def dedup_rolling(cues: DataFrame, keys: Sequence[str] = KEY, order: str = "seq"
             kept.append([*[rows[k].iat[i] for k in key_names], rows[order].iat[i], novel])
         return pd.DataFrame(kept, columns=[*key_names, order, "novel"]), tail or None
 
-    novel = ordered_fold(prepared.where(F.size("_tokens") > 0), keys, order, out, step)
+    novel = ordered_fold(prepared.where(F.size("_tokens") > 0), keys, order, out, step, block=block)
     return cues.join(novel, [*keys, order])
 
 
 def chunk_cues(cues: DataFrame, target_s: float = 45.0, max_s: float = 60.0, keys: Sequence[str] = KEY,
-               order: str = "seq") -> DataFrame:
+               order: str = "seq", block: int = FOLD_BLOCK) -> DataFrame:
     """Merge consecutive cues of one speaker and section, closing before a cue that would reach ``target_s``."""
     key_names = list(keys)
     out = T.StructType([*[cues.schema[k] for k in keys], cues.schema[order], T.StructField("chunk", cues.schema[order].dataType)])
@@ -111,7 +111,7 @@ def chunk_cues(cues: DataFrame, target_s: float = 45.0, max_s: float = 60.0, key
 
     base = cues if "section" in cues.columns else cues.withColumn("section", F.lit(None).cast("string"))
     narrow = base.select(*keys, order, "speaker", "section", "start_s", "end_s")
-    heads = ordered_fold(narrow, keys, order, out, step)
+    heads = ordered_fold(narrow, keys, order, out, step, block=block)
     parts = base.join(heads, [*keys, order])
     ordered = F.array_sort(F.collect_list(F.struct(order, "text")))
     return parts.groupBy(*keys, "chunk").agg(
@@ -228,7 +228,7 @@ def topic_sessions(records: DataFrame, topics: Column, gap_s: float = 90.0, keys
 
 
 def topic_blocks(records: DataFrame, topics: Column, gap_s: float = 90.0, max_rows: int = 6, max_chars: int = 1800,
-                 min_chars: int = 60, keys: Sequence[str] = KEY, order: Sequence[str] = ("seq",)) -> DataFrame:
+                 min_chars: int = 60, keys: Sequence[str] = KEY, order: Sequence[str] = ("seq",), block: int = FOLD_BLOCK) -> DataFrame:
     """Member rows of topic blocks, with ``block_pos`` naming the block by its first position.
 
     A block also closes once it holds ``max_rows`` rows or ``max_chars`` characters; short blocks are dropped.
@@ -252,7 +252,7 @@ def topic_blocks(records: DataFrame, topics: Column, gap_s: float = 90.0, max_ro
         return result, state
 
     narrow = rows.select(*group, "pos", "start_s", "end_s", F.length("text").alias("_size"))
-    heads = ordered_fold(narrow, group, "pos", out, step)
+    heads = ordered_fold(narrow, group, "pos", out, step, block=block)
     full = rows.join(heads, [*group, "pos"])
     # a block holds at most max_rows rows, so its text is bounded
     size = full.groupBy(*group, "block_pos").agg(F.sum(F.length("text") + 1).alias("_chars"))

@@ -104,9 +104,8 @@ def gate_claims(spark, sf):
 def gate_decisions(spark, sf):
     """Merges go to the first accepted claim of the table."""
     d = decisions(spark, sf)
-    first = d.where("decision = 'accept'").agg(F.min("claim_id").alias("_first"))
-    d = d.join(F.broadcast(first), F.lit(True))
-    return d.withColumn("merge_into", F.when(F.col("decision") == "merge_into", F.concat(F.lit("canonical."), F.col("_first").cast("string")))).withColumn("canonical_claim", F.lit("")).drop("_first")
+    first = d.where("decision = 'accept'").agg(F.min("claim_id")).first()[0]
+    return d.withColumn("merge_into", F.when(F.col("decision") == "merge_into", F.lit(f"canonical.{first}"))).withColumn("canonical_claim", F.lit(""))
 
 
 _GATE = """WITH d AS (SELECT doc_id, quality, toxic, n_chars, text FROM labels JOIN documents USING (doc_id)), f AS (SELECT min(doc_id) AS first FROM d WHERE quality = 1 AND toxic = 0),
@@ -134,11 +133,11 @@ def _(spark, sf):
 def theme_review(spark, sf):
     d = table(spark, sf, "labels").join(table(spark, sf, "documents"), "doc_id")
     c = d.select(F.concat(F.lit("t"), F.col("doc_id").cast("string")).alias("theme_claim_id"), F.substring("text", 1, 40).alias("statement"), F.col("n_chars").alias("first_seen_at"), (F.col("n_chars") + 5).alias("last_seen_at"), "quality", "toxic", "lang", "doc_id")
-    first = F.broadcast(c.where("quality = 1 and toxic = 0 and lang = 'en'").agg(F.min("doc_id").alias("_f")))
+    first = c.where("quality = 1 and toxic = 0 and lang = 'en'").agg(F.min("doc_id")).first()[0]
     good = F.col("quality") == 1
     action = F.when(~good, "reject").when(F.col("toxic") == 1, "merge").when(F.col("lang") == "en", "accept").otherwise("split")
-    dec = c.join(first, F.lit(True)).select(
-        "theme_claim_id", action.alias("decision"), F.col("statement").alias("final_statement"), F.array(F.lit("one"), F.lit("two")).alias("split_statements"), F.concat(F.lit("t"), F.col("_f").cast("string")).alias("merge_into"),
+    dec = c.select(
+        "theme_claim_id", action.alias("decision"), F.col("statement").alias("final_statement"), F.array(F.lit("one"), F.lit("two")).alias("split_statements"), F.lit(f"t{first}").alias("merge_into"),
         F.lit("fully_supported").alias("entailment_status"), F.lit("reviewer").alias("reviewer"), *[F.lit(True).alias(f) for f in H.FLAGS])
     return c, dec
 
@@ -154,9 +153,11 @@ def _(spark, sf):
     return H.apply_theme_gate(c, dec)[0].select("theme_claim_id", "n_merged", "first_seen_at", "last_seen_at")
 
 
-@query("h3_theme_gate_violations", "SELECT NULL::VARCHAR AS theme_claim_id, NULL::VARCHAR AS issue WHERE false")
+@query("h3_theme_gate_violations", _THEME + """ SELECT id AS theme_claim_id, 'flag_not_true' AS issue FROM d WHERE quality = 1 AND toxic = 0 AND lang = 'de'""")
 def _(spark, sf):
-    return H.theme_gate_violations(*theme_review(spark, sf))
+    c, dec = theme_review(spark, sf)
+    dec = dec.join(c.select("theme_claim_id", "lang"), "theme_claim_id").withColumn("conditions_preserved", F.col("lang") != "de").drop("lang")
+    return H.theme_gate_violations(c, dec)
 
 
 @query("h3_accept_insights", _THEME + """, s AS (SELECT DISTINCT lang, new_id FROM d JOIN map ON map.old_id = d.id), g AS (SELECT lang, count(DISTINCT new_id) AS n FROM s GROUP BY 1), l AS (SELECT DISTINCT lang FROM d)
@@ -289,8 +290,8 @@ def _(spark, sf):
 
 # --- batch form of the streams -------------------------------------------------------------------------
 
-@query("st2_topic_sessions", """WITH e AS (SELECT user_id AS media_id, ts AS at, event_type AS topic, length(event_type) AS n FROM events), p AS (SELECT *, CASE WHEN at - lag(at) OVER w < INTERVAL 90 MINUTE THEN 0 ELSE 1 END AS new FROM e WINDOW w AS (PARTITION BY media_id, topic ORDER BY at)),
-s AS (SELECT *, sum(new) OVER (PARTITION BY media_id, topic ORDER BY at) AS sid FROM p) SELECT media_id, topic, count(*) AS n_rows, sum(n)::BIGINT AS n_chars FROM s GROUP BY media_id, topic, sid""")
+@query("st2_topic_sessions", """WITH e AS (SELECT user_id AS media_id, ts AS tm, event_type AS topic, length(event_type) AS n FROM events), p AS (SELECT *, CASE WHEN tm - lag(tm) OVER w < INTERVAL 90 MINUTE THEN 0 ELSE 1 END AS new FROM e WINDOW w AS (PARTITION BY media_id, topic ORDER BY tm)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY media_id, topic ORDER BY tm) AS sid FROM p) SELECT media_id, topic, count(*) AS n_rows, sum(n)::BIGINT AS n_chars FROM s GROUP BY media_id, topic, sid""")
 def _(spark, sf):
     e = table(spark, sf, "events").select(F.col("user_id").alias("media_id"), F.col("ts").alias("at"), F.col("event_type").alias("text"))
     pack = {t: [rf"^{t}$"] for t in ("view", "click", "error", "signup", "purchase")}

@@ -174,7 +174,8 @@ def _(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
     _, new = V.embed(d, V.Scorer.hashed())
     _, again = V.embed(d, V.Scorer.hashed(), cache=new)
-    return new.agg(F.count("*").alias("n_new")).join(again.agg(F.count("*").alias("n_again")), F.lit(True))
+    both = new.select(F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(again.select(F.lit(0).alias("a"), F.lit(1).alias("b")))
+    return both.agg(F.sum("a").cast("long").alias("n_new"), F.sum("b").cast("long").alias("n_again"))
 
 
 def lines(spark, sf):
