@@ -23,11 +23,12 @@ def atomic_seeds(records: DataFrame, topics: Mapping[str, Sequence[str]] | None
     """
     have = set(records.columns)
     chapter = F.col("chapter") if "chapter" in have else F.lit("")
-    tags = X.tag_topics("text", topics)
-    base = records.withColumn("_own", F.when(F.size(tags) > 0, tags).otherwise(X.tag_topics(F.coalesce(chapter, F.lit("")), topics)))
-    rows = base.select("*", F.posexplode(X.sentences("text")).alias("sent_no", "claim")).where(F.length("claim") >= min_chars)
-    own = X.tag_topics("claim", topics)
-    rows = rows.withColumn("_themes", F.when(F.size(own) > 0, own).otherwise(F.col("_own"))).where((F.size("_themes") > 0) & X.is_valuable("claim"))
+    # the record's own topics are found once, below the explode, so no sentence reads its whole record again
+    base = records.withColumn("_text", X.tag_topics("text", topics)).withColumn("_title", X.tag_topics(F.coalesce(chapter, F.lit("")), topics))
+    base = base.withColumn("_own", F.when(F.size("_text") > 0, F.col("_text")).otherwise(F.col("_title"))).withColumn("_s", X.sentences("text")).drop("text", "_text", "_title")
+    rows = base.select("*", F.posexplode("_s").alias("sent_no", "claim")).drop("_s").where((F.length("claim") >= min_chars) & X.is_valuable("claim"))
+    rows = rows.withColumn("_tags", X.tag_topics("claim", topics))
+    rows = rows.withColumn("_themes", F.when(F.size("_tags") > 0, F.col("_tags")).otherwise(F.col("_own"))).where(F.size("_themes") > 0)
     risks = X.risk_summary("claim")
     signal = F.filter(X.lowered(X.matches("claim", R.VALUE_SIGNAL)), lambda s: s.isin(*R.ATOMIC_SIGNALS))
     agreement = F.col("source_agreement") if "source_agreement" in have else F.lit(None).cast("string")

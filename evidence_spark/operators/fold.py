@@ -11,7 +11,7 @@ row-by-row fold. Only blocks that differ are read again and no task sees more th
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evidence_spark.operators.scan import position_block
-from evidence_spark.session import cut
+from evidence_spark.session import cut, spread
 
 FOLD_BLOCK = 4096
 
@@ -54,10 +54,10 @@ def ordered_fold(
     ])
     names = out.fieldNames()
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(pdf: pd.DataFrame) -> dict:
         entry = pdf["_entry"].iloc[0]
         entry = None if entry is None or pd.isna(entry) else entry
-        rows = pdf.sort_values(order, ascending=not backward, kind="stable")
+        rows = pdf.iloc[::-1] if backward else pdf
         result, state = step(rows[columns].reset_index(drop=True), None if entry is None else json.loads(entry))
         record = {"_k_" + k: pdf[k].iloc[0] for k in keys}
         packed = [] if len(result) == 0 else result[names].astype(object).where(result[names].notna(), None).to_dict("records")
@@ -65,9 +65,24 @@ def ordered_fold(
             _b=int(pdf["_blk"].iloc[0]), _entry=entry,
             _exit=None if state is None else json.dumps(state, sort_keys=True), _rows=packed,
         )
-        return pd.DataFrame([record], columns=schema.fieldNames())
+        return record
 
-    done = cut(cells.withColumn("_entry", F.lit(None).cast("string")).groupBy(*group).applyInPandas(run, schema))
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows come sorted by group and order; a group that may go on in the next batch is held back
+        held = None
+        for part in parts:
+            part = part if held is None else pd.concat([held, part], ignore_index=True)
+            cells_of = [g for _, g in part.groupby(group, sort=False, dropna=False)]
+            held = cells_of[-1]
+            if len(cells_of) > 1:
+                yield pd.DataFrame([one(g) for g in cells_of[:-1]], columns=schema.fieldNames())
+        if held is not None:
+            yield pd.DataFrame([one(held)], columns=schema.fieldNames())
+
+    def fold(rows: DataFrame) -> DataFrame:
+        return spread(rows, *group).sortWithinPartitions(*group, order).mapInPandas(run, schema)
+
+    done = cut(fold(cells.withColumn("_entry", F.lit(None).cast("string"))))
     direction = F.col("_b").desc() if backward else F.col("_b")
     over = Window.partitionBy(*["_k_" + k for k in keys]).orderBy(direction)
     while True:
@@ -76,7 +91,7 @@ def ordered_fold(
         if stale.isEmpty():
             break
         stale = cut(stale.select(*[F.col("_k_" + k).alias(k) for k in keys], F.col("_b").alias("_blk"), F.col("_want").alias("_entry")))
-        again = cells.join(stale, group).groupBy(*group).applyInPandas(run, schema)
+        again = fold(cells.join(stale, group))
         mark = stale.select(*[F.col(k).alias("_k_" + k) for k in keys], F.col("_blk").alias("_b"))
         keep = done.join(mark, [*["_k_" + k for k in keys], "_b"], "left_anti")
         done = cut(keep.unionByName(again))
