@@ -52,7 +52,9 @@ def main(argv):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     queries, oracle = entry.queries(), entry.oracle_sql()
-    names = [n for n in queries if not argv or any(a in n for a in argv)]
+    only_sql = "--sql" in argv
+    argv = [a for a in argv if a != "--sql"]
+    names = [n for n in queries if (not argv or any(a in n for a in argv)) and (n in oracle or not only_sql)]
     bad = 0
     for name in names:
         start = time.time()
