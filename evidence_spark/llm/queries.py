@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence_spark.llm import decontaminate, urls
+from evidence_spark.llm import decontaminate, packing, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -57,3 +57,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 def _(spark, sf):
     found = decontaminate.contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_token_counts")
+def _(spark, sf):
+    return tokens.count_tokens(read(spark, sf, "documents"), vocabulary())
+
+
+@query("op7_pack")
+def _(spark, sf):
+    return packing.pack(read(spark, sf, "documents"), vocabulary())
