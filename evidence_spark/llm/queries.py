@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence_spark.llm import decontaminate, packing, tokens, urls
+from evidence_spark.llm import decontaminate, packing, simhash, tokens, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -73,3 +73,8 @@ def _(spark, sf):
 @query("op7_pack")
 def _(spark, sf):
     return packing.pack(read(spark, sf, "documents"), vocabulary())
+
+
+@query("op4_simhash")
+def _(spark, sf):
+    return simhash.near_duplicates(read(spark, sf, "documents"))
