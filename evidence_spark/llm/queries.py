@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence_spark.llm import decontaminate, packing, simhash, tokens, urls
+from evidence_spark.llm import decontaminate, packing, quality, simhash, tokens, toxicity, urls
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -78,3 +78,15 @@ def _(spark, sf):
 @query("op4_simhash")
 def _(spark, sf):
     return simhash.near_duplicates(read(spark, sf, "documents"))
+
+
+@query("op3_quality")
+def _(spark, sf):
+    docs = read(spark, sf, "documents")
+    return quality.score_quality(docs, quality.train(docs, read(spark, sf, "labels")))
+
+
+@query("op5_toxicity")
+def _(spark, sf):
+    docs = read(spark, sf, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, read(spark, sf, "labels")))
