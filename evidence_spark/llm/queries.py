@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence_spark.llm import decontaminate, packing, quality, simhash, tokens, toxicity, urls
+from evidence_spark.llm import decontaminate, packing, quality, simhash, tokens, toxicity, urls, vptree, warc
+from evidence_spark.session import checkpoint_folder
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -90,3 +93,14 @@ def _(spark, sf):
 def _(spark, sf):
     docs = read(spark, sf, "documents")
     return toxicity.score_toxicity(docs, toxicity.train(docs, read(spark, sf, "labels")))
+
+
+@query("op9_vantage_points")
+def _(spark, sf):
+    vectors = read(spark, sf, "embeddings")
+    return vptree.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query("op1_arc_to_warc")
+def _(spark, sf):
+    return warc.archive_pages(read(spark, sf, "pages"), f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}")
