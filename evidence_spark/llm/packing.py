@@ -49,10 +49,8 @@ class Ids:
         self.parts: dict[str, bytes] = {"": b""}
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.words) > KNOWN:
-            self._clear()
         cuts = {w: m.groups() if (m := SIMPLE.fullmatch(w.lower())) and "<|" not in w else None for w in words}
-        new = [*({p for c in cuts.values() if c for p in c} - self.parts.keys())]
+        new = list({p for c in cuts.values() if c for p in c if p not in self.parts})
         if new:  # each part is one pre-token and so ends with the only word-final token in it
             ids = np.array(self.library.encode(" ".join(new), add_special_tokens=False).ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
@@ -67,11 +65,19 @@ class Ids:
 
     def of(self, texts: list[str]) -> list[bytes]:
         cut_up = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if missing := set().union(*cut_up) - self.words.keys():
-            self._learn(missing)
-            if missing := set().union(*cut_up) - self.words.keys():  # after the table began anew
-                self._learn(missing)
-        return [b"".join([self.words[w] for w in ws]) for ws in cut_up]
+        if len(self.words) > KNOWN:
+            self._clear()
+        out = []
+        for ws in cut_up:
+            try:
+                out.append(b"".join([self.words[w] for w in ws]))
+            except KeyError:
+                out.append(None)
+        late = [k for k, ids in enumerate(out) if ids is None]
+        self._learn({w for k in late for w in cut_up[k] if w not in self.words})
+        for k in late:
+            out[k] = b"".join([self.words[w] for w in cut_up[k]])
+        return out
 
 
 _IDS: dict[int, Ids] = {}
