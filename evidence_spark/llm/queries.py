@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence_spark.llm import decontaminate, packing, quality, simhash, tokens, toxicity, urls, vptree, warc
+from evidence_spark.llm import decontaminate, extract, packing, quality, simhash, tokens, toxicity, urls, vptree, warc
 from evidence_spark.session import checkpoint_folder
 
 QUERIES: dict = {}
@@ -104,3 +104,8 @@ def _(spark, sf):
 @query("op1_arc_to_warc")
 def _(spark, sf):
     return warc.archive_pages(read(spark, sf, "pages"), f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}")
+
+
+@query("op8_main_text")
+def _(spark, sf):
+    return extract.extract_pages(read(spark, sf, "pages"))
