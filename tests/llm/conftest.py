@@ -5,8 +5,6 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-SMALL = Path("/root/testdata/sf0.001")
-
 DOCS = [
     (1, "The quick brown fox jumps over the lazy dog near the river bank today.", "x"),
     (2, None, "x"),

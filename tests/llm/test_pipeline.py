@@ -4,13 +4,14 @@ import tempfile
 import zlib
 
 import corpus_pipeline as C
-from conftest import SMALL
 from test_simhash import brute_components, brute_print
 from test_urls_decontaminate import brute
 
 from evidence_spark.llm import quality, toxicity
 from evidence_spark.llm.queries import read, vocabulary
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def test_every_stage_equals_its_plain_version(spark):
     sf, folder = str(SMALL), tempfile.mkdtemp(prefix="stages-")
