@@ -15,7 +15,7 @@ from evidence_spark.plans.expressions import PAIRS_SQL, _grams_sql, turn_pairs
 from evidence_spark.plans.extract import claims, sections, talk_claims
 from evidence_spark.plans.registry import query
 from evidence_spark.plans.tables import table
-from evidence_spark.session import cut
+from evidence_spark.session import cut, spread
 
 
 @query("c1_duplicate_clusters")
@@ -44,7 +44,7 @@ def _(spark, sf):
 def _(spark, sf):
     n = sections(spark, sf).select("family", F.col("section_id").alias("node"), X.norm_text("text").alias("norm")).where(F.length("norm") >= 80)
     first = n.groupBy("family", "norm").agg(F.min("node").alias("node"))
-    return U.near_pairs(first, ["family"], 0.9)
+    return U.near_pairs(first, ["family"], 0.9, U.LONG_NGRAM)
 
 
 @query("j7_relate_claims")
@@ -52,19 +52,27 @@ def _(spark, sf):
     return U.relate_claims(cut(talk_claims(spark, sf)))
 
 
-@query("t2_block_ratio")
+@query("t2_block_ratio", f"""WITH b AS (SELECT item_id, {D.norm('text')} AS a FROM benchmark), d AS (SELECT doc_id, {D.norm('text')} AS b FROM documents)
+SELECT item_id, doc_id, round(2.0 * least(length(a), length(b)) / (length(a) + length(b)), 6)::DOUBLE AS ratio FROM b JOIN d ON a <> '' AND contains(d.b, b.a)""")
 def _(spark, sf):
-    """Similarity of each benchmark passage with every document that shares one of its rare n-grams."""
+    """Similarity of each benchmark passage with every document that holds its normalised text.
+
+    A document that holds a passage holds its rarest 8-gram, so that one gram per passage finds them all; shorter passages are their own gram.
+    """
     from evidence_spark.functions.similarity import block_ratio
-    from evidence_spark.session import spread
-
-    b = table(spark, sf, "benchmark").select(F.lit("g").alias("k"), (-1 - F.col("item_id")).alias("node"), X.norm_text("text").alias("norm"))
-    d = table(spark, sf, "documents").select(F.lit("g").alias("k"), F.col("doc_id").alias("node"), X.norm_text("text").alias("norm"))
-    grams = U.rare_grams(b.unionByName(d), ["k"], share=0.8)
-    hits = grams.where("node < 0").select("token", F.col("node").alias("item")).join(grams.where("node >= 0"), "token").select("item", "node").distinct()
-    rows = hits.join(b.select(F.col("node").alias("item"), F.col("norm").alias("a")), "item").join(d.select("node", F.col("norm").alias("b")), "node")
-    rows = spread(rows, "item", "node")
-    return rows.select((-1 - F.col("item")).alias("item_id"), F.col("node").alias("doc_id"), F.round(block_ratio(F.col("a"), F.col("b")), 6).alias("ratio"))
+
+    b = table(spark, sf, "benchmark").select("item_id", X.norm_text("text").alias("a")).where("a <> ''")
+    d = table(spark, sf, "documents").select(F.col("doc_id"), X.norm_text("text").alias("b"))
+    grams = lambda c, n: F.array_distinct(F.regexp_extract_all(c, F.lit("(?=(.{%d}))" % n), F.lit(1)))
+    have = cut(d.select("doc_id", F.explode(grams("b", 8)).alias("g")))
+    wanted = b.where(F.length("a") >= 8).select("item_id", F.explode(grams("a", 8)).alias("g"))
+    common = have.join(wanted.select("g").distinct(), "g").groupBy("g").count()
+    rarest = wanted.join(common, "g", "left").groupBy("item_id").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "g"))["g"].alias("g"))
+    hits = have.join(rarest, "g").select("item_id", "doc_id")
+    rows = hits.join(b, "item_id").join(d, "doc_id")
+    tiny = b.where(F.length("a") < 8).join(d, F.contains("b", F.col("a"))).select("item_id", "doc_id", "a", "b")
+    rows = spread(rows.select("item_id", "doc_id", "a", "b").unionByName(tiny).where(F.contains("b", F.col("a"))), "item_id", "doc_id")
+    return rows.select("item_id", "doc_id", F.round(block_ratio(F.col("a"), F.col("b")), 6).alias("ratio"))
 
 
 # --- vectors and matching -----------------------------------------------------------------------
