@@ -138,7 +138,7 @@ def polarity_terms(c: Column) -> Column:
     """Polarity words, word stems and word beginnings found in a text."""
     low = F.lower(c)
     hits = [F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in R.POLARITY_STEMS]
-    hits += [F.when(c.rlike(r"(?iU)\b" + t.replace("'", "'") + r"\b"), F.lit(t)) for t in R.POLARITY_WORDS]
+    hits += [F.when(c.rlike(r"(?iU)\b" + t + r"\b"), F.lit(t)) for t in R.POLARITY_WORDS]
     hits += [F.when(c.rlike(r"(?iU)\b" + t + r"\w*\b"), F.lit(t)) for t in R.POLARITY_PREFIXES]
     return F.array_compact(F.array(*hits))
 

@@ -152,19 +152,35 @@ def proto_scores(spark, sf):
     return recall(spark, sf).select(F.substring("query", 6, 5).cast("long").alias("left"), F.col("row_id").alias("right"), "score")
 
 
-@query("r3_anchor_recall")
+def _greedy_sql(rows: str, least: float) -> str:
+    """CTEs g0 to g9 and first: prototypes in order take their best free row of ``rows``."""
+    ctes = []
+    for q in range(10):
+        taken = " UNION ALL ".join(f'SELECT "right" FROM g{i}' for i in range(q))
+        where = f' AND row_id NOT IN ({taken})' if taken else ""
+        ctes.append(f"""g{q} AS (SELECT {q}::BIGINT AS "left", row_id AS "right", score FROM {rows} WHERE query = 'label{q}' AND score >= {least}{where} ORDER BY score DESC, row_id LIMIT 1)""")
+    return ", ".join(ctes) + ", first AS (" + " UNION ALL ".join(f"SELECT * FROM g{q}" for q in range(10)) + ")"
+
+
+@query("r3_anchor_recall", f"""WITH {_PROTO}, taken AS (SELECT DISTINCT row_id FROM recall WHERE score >= 0.8), free AS (SELECT * FROM recall WHERE row_id NOT IN (SELECT row_id FROM taken)), {_greedy_sql('free', 0.2)},
+n AS (SELECT *, row_number() OVER (ORDER BY "left") AS k FROM first) SELECT "left", "right", score FROM n WHERE k <= (SELECT greatest(0, 180 - count(*)) FROM taken)""")
 def _(spark, sf):
     s = cut(proto_scores(spark, sf))
-    taken = s.where("score >= 0.8").select("right").distinct()
-    return M.anchor_recall(s, taken, 0, cap=8, min_score=0.2)
+    taken = cut(s.where("score >= 0.8").select("right").distinct())
+    return M.anchor_recall(s, taken, taken.count(), cap=180, min_score=0.2).select("left", "right", "score")
+
+
+_ASSIGNED = f"""{_PROTO}, {_greedy_sql('recall', 0.3)}, rest AS (SELECT row_id AS "right", substr(query, 6)::BIGINT AS "left", score FROM recall WHERE row_id NOT IN (SELECT "right" FROM first)),
+best AS (SELECT *, row_number() OVER (PARTITION BY "right" ORDER BY score DESC, "left") AS k FROM rest),
+assigned AS (SELECT "right", "left", score, 1 AS pass FROM first UNION ALL SELECT "right", "left", score, 2 AS pass FROM best WHERE k = 1)"""
 
 
-@query("r4_assign_prototypes")
+@query("r4_assign_prototypes", f'WITH {_ASSIGNED} SELECT "right", "left", score, pass FROM assigned')
 def _(spark, sf):
     return M.assign_prototypes(cut(proto_scores(spark, sf)), 0.3)
 
 
-@query("r4_prototype_rollup")
+@query("r4_prototype_rollup", f"""WITH {_ASSIGNED} SELECT "left", count(*) AS member_count, round(avg(score), 6) AS mean_similarity, arg_max("right", (score, -"right")) AS representative FROM assigned GROUP BY "left\"""")
 def _(spark, sf):
     return M.prototype_rollup(M.assign_prototypes(cut(proto_scores(spark, sf)), 0.3))
 
