@@ -98,7 +98,7 @@ def _(spark, sf):
 
 def gate_claims(spark, sf):
     lab = table(spark, sf, "labels").select("doc_id")
-    return table(spark, sf, "documents").join(lab, "doc_id").select(F.col("doc_id").alias("claim_id"), F.substring("text", 1, 80).alias("claim"), F.col("n_chars").cast("double").alias("start_s"), (F.col("n_chars") + F.col("doc_id")).cast("double").alias("end_s"))
+    return table(spark, sf, "documents").join(lab, "doc_id").select(F.col("doc_id").alias("claim_id"), F.col("text").alias("claim"), F.col("n_chars").cast("double").alias("start_s"), (F.col("n_chars") + F.col("doc_id")).cast("double").alias("end_s"))
 
 
 def gate_decisions(spark, sf):
@@ -118,7 +118,7 @@ def _(spark, sf):
 
 
 @query("h2_apply_claim_gate", _GATE + """, s AS (SELECT target, min(n_chars)::DOUBLE AS start_s, max(n_chars + doc_id)::DOUBLE AS end_s, count(*) AS n_parents FROM m GROUP BY 1)
-SELECT 'canonical.' || target AS canonical_claim_id, substr(text, 1, 80) AS canonical_claim, start_s, end_s, n_parents FROM s JOIN d ON d.doc_id = s.target""")
+SELECT 'canonical.' || target AS canonical_claim_id, text AS canonical_claim, start_s, end_s, n_parents FROM s JOIN d ON d.doc_id = s.target""")
 def _(spark, sf):
     a, _r, _m = H.apply_claim_gate(gate_claims(spark, sf), gate_decisions(spark, sf))
     return a.select("canonical_claim_id", "canonical_claim", "start_s", "end_s", "n_parents")
@@ -132,7 +132,7 @@ def _(spark, sf):
 
 def theme_review(spark, sf):
     d = table(spark, sf, "labels").join(table(spark, sf, "documents"), "doc_id")
-    c = d.select(F.concat(F.lit("t"), F.col("doc_id").cast("string")).alias("theme_claim_id"), F.substring("text", 1, 40).alias("statement"), F.col("n_chars").alias("first_seen_at"), (F.col("n_chars") + 5).alias("last_seen_at"), "quality", "toxic", "lang", "doc_id")
+    c = d.select(F.concat(F.lit("t"), F.col("doc_id").cast("string")).alias("theme_claim_id"), F.col("text").alias("statement"), F.col("n_chars").alias("first_seen_at"), (F.col("n_chars") + 5).alias("last_seen_at"), "quality", "toxic", "lang", "doc_id")
     first = c.where("quality = 1 and toxic = 0 and lang = 'en'").agg(F.min("doc_id")).first()[0]
     good = F.col("quality") == 1
     action = F.when(~good, "reject").when(F.col("toxic") == 1, "merge").when(F.col("lang") == "en", "accept").otherwise("split")

@@ -199,6 +199,11 @@ def _(spark, sf):
     return out.select("media_id", "n_pairs", "exact_rate", "cross_speaker_boundaries")
 
 
+@query("w10_partial_rate")
+def _(spark, sf):
+    return S.adjacent_diagnostics(fused_base(spark, sf)).select("media_id", "n_pairs", "partial_rate")
+
+
 @query("w11_speaker_boundaries", FUSED_SQL + """ SELECT media_id, seq, (coalesce(speaker <> n_speaker AND list_has_any(matched_ids, n_ids), false) OR coalesce(speaker <> p_speaker AND list_has_any(matched_ids, p_ids), false)) AS flagged FROM nb""")
 def _(spark, sf):
     return S.flag_speaker_boundaries(fused_base(spark, sf)).select("media_id", "seq", (F.size("review_reasons") > 0).alias("flagged"))
