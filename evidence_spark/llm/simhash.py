@@ -15,7 +15,8 @@ pairs. Keys with more than BLOCK fingerprints are split into blocks that are com
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidence_spark.session import cut
@@ -65,6 +66,15 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint long")
 
 
+def print_column(text: Column, words: int = 4) -> Column:
+    """The fingerprint of a text column."""
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint((t or "").encode(), words) for t in texts], np.uint64).view(np.int64))
+
+    return run(text)
+
+
 # --- keys -------------------------------------------------------------------------------------------------------
 
 
@@ -262,6 +272,15 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
+def print_components(prints: DataFrame, bits: int = BITS) -> DataFrame:
+    """(fingerprint, root, component_id) of every distinct fingerprint: the smallest fingerprint and the smallest doc_id of its component."""
+    distinct = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    root = components(linked(distinct, bits))
+    placed = distinct.join(root, distinct["fingerprint"] == root["node"], "left").select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
+    lowest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return placed.join(lowest, "root").select("fingerprint", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, bits: int = BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable over links of at most ``bits`` bits.
 
@@ -269,18 +288,18 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = BITS) -> DataFr
     are never the smallest; a component of null ids only has a null id. Empty tables give no rows. Other columns are not read.
     """
     prints = cut(fingerprints(docs, words))
-    distinct = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
-    root = components(linked(distinct, bits))
-    placed = distinct.join(root, distinct["fingerprint"] == root["node"], "left").select("fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
-    lowest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_print = placed.join(lowest, "root").select("fingerprint", "component_id")
-    return prints.join(of_print, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(print_components(prints, bits), "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 4, bits: int = BITS) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, that with the smallest id. Of repeated rows of that id one stays."""
-    first = near_duplicates(docs, words, bits).groupBy("component_id").agg(F.count(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), 1)).alias("_rows"))
-    first = first.withColumnRenamed("component_id", "_first")
-    joined = docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]))
+    """``docs`` with one row of each group of near-duplicates, that with the smallest id. Of repeated rows of that id one stays, and of a
+    group whose rows all lack an id any one."""
+    prints = cut(fingerprints(docs, words))
+    of_print = cut(print_components(prints, bits))
+    first = prints.join(of_print, "fingerprint").where(F.col("doc_id") == F.col("component_id")).groupBy(F.col("component_id").alias("_first")).agg(F.count(F.lit(1)).alias("_rows"))
+    joined = docs.join(first, docs["doc_id"] == first["_first"])
     once, more = joined.where(F.col("_rows") == 1), joined.where(F.col("_rows") > 1)
-    return once.unionByName(more.dropDuplicates(["_first"])).select(*docs.columns)
+    nameless = docs.where(F.col("doc_id").isNull()).withColumn("_print", print_column(F.col("text"), words))
+    alone = of_print.where(F.col("component_id").isNull()).select(F.col("fingerprint").alias("_print"), F.col("root").alias("_first"))
+    kept = [once, more.dropDuplicates(["_first"]), nameless.join(alone, "_print").dropDuplicates(["_first"])]
+    return kept[0].select(*docs.columns).unionByName(kept[1].select(*docs.columns)).unionByName(kept[2].select(*docs.columns))

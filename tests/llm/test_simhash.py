@@ -68,6 +68,12 @@ def test_repeated_ids_keep_one_row(spark):
     assert [r.doc_id for r in S.keep_one(df).collect()] == [1]
 
 
+def test_rows_without_ids_are_kept_once(spark):
+    rows = [(None, "a b c d"), (None, "a b c d"), (None, "other words that are new here"), (7, "x y z w"), (None, "x y z w"), (None, None), (None, "")]
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in kept) == [("7", "x y z w"), ("None", ""), ("None", "a b c d"), ("None", "other words that are new here")]
+
+
 def test_every_pair_within_four_bits_shares_a_key():
     rng, golay = np.random.default_rng(1), S.Golay()
     a = rng.integers(0, 2**64, 3000, dtype=np.uint64)
