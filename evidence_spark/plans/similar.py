@@ -63,15 +63,16 @@ def _(spark, sf):
 
     b = table(spark, sf, "benchmark").select("item_id", X.norm_text("text").alias("a")).where("a <> ''")
     d = table(spark, sf, "documents").select(F.col("doc_id"), X.norm_text("text").alias("b"))
-    grams = lambda c, n: F.array_distinct(F.regexp_extract_all(c, F.lit("(?=(.{%d}))" % n), F.lit(1)))
-    have = cut(d.select("doc_id", F.explode(grams("b", 8)).alias("g")))
-    wanted = b.where(F.length("a") >= 8).select("item_id", F.explode(grams("a", 8)).alias("g"))
+    size = F.least(F.length("a"), F.lit(8))
+    sizes = sorted(r[0] for r in b.select(size).distinct().collect())  # at most eight
+    found = lambda c, n: F.regexp_extract_all(c, F.lit("(?=(.{%d}))" % n), F.lit(1))
+    of_size = lambda c: F.coalesce(*[F.when(size == n, found(c, n)) for n in sizes])
+    have = cut(d.select("doc_id", F.explode(F.array_distinct(F.flatten(F.array(*[found("b", n) for n in sizes or [8]])))).alias("g")))
+    wanted = b.select("item_id", F.explode(F.array_distinct(of_size("a") if sizes else found("a", 8))).alias("g"))
     common = have.join(wanted.select("g").distinct(), "g").groupBy("g").count()
     rarest = wanted.join(common, "g", "left").groupBy("item_id").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "g"))["g"].alias("g"))
     hits = have.join(rarest, "g").select("item_id", "doc_id")
-    rows = hits.join(b, "item_id").join(d, "doc_id")
-    tiny = b.where(F.length("a") < 8).join(d, F.contains("b", F.col("a"))).select("item_id", "doc_id", "a", "b")
-    rows = spread(rows.select("item_id", "doc_id", "a", "b").unionByName(tiny).where(F.contains("b", F.col("a"))), "item_id", "doc_id")
+    rows = spread(hits.join(b, "item_id").join(d, "doc_id").where(F.contains("b", F.col("a"))), "item_id", "doc_id")
     return rows.select("item_id", "doc_id", F.round(block_ratio(F.col("a"), F.col("b")), 6).alias("ratio"))
 
 
