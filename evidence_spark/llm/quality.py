@@ -25,7 +25,7 @@ GRAMS = (2, 3, 4)
 #: Labelled documents used for training (a bound; the sample is picked by the hash of the id).
 SAMPLE = 3000
 #: Words whose score a worker keeps; beyond that the table begins anew.
-KNOWN = 1_000_000
+KNOWN = 250_000
 #: The event that a word is the same as the one before it: the last bucket.
 AGAIN = BUCKETS - 1
 

@@ -32,7 +32,7 @@ SAMPLE = 200_000
 #: furthest from zero stay). Weak tokens are mostly words of a few texts that happen to have copies.
 PRIOR, ODDS, SIGMAS, LEXICON = 0.1, 2.5, 3.0, 20_000
 #: Words whose score a worker keeps; beyond that the table begins anew.
-KNOWN = 1_000_000
+KNOWN = 250_000
 #: What each token costs a segment.
 COST = 0.1
 #: Segments expected less often than this in clean text are reported as passages.
