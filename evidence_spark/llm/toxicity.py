@@ -28,9 +28,8 @@ TOKEN = re.compile(r"[^\W_]+")
 STEMS = (5, 4)
 #: Labelled documents that train the lexicon and the calibration (a bound; picked by the hash of the id).
 SAMPLE = 200_000
-#: Weight of the prior against the counts, the least log-odds and standard deviations of a lexicon token, and the lexicon's bound (the
-#: furthest from zero stay). Weak tokens are mostly words of a few texts that happen to have copies.
-PRIOR, ODDS, SIGMAS, LEXICON = 0.1, 2.5, 3.0, 20_000
+#: Weight of the prior against the counts, the least standard deviations of a lexicon token, and the lexicon's bound (the furthest from zero stay).
+PRIOR, SIGMAS, LEXICON = 0.1, 3.0, 20_000
 #: Words whose score a worker keeps; beyond that the table begins anew.
 KNOWN = 250_000
 #: What each token costs a segment.
@@ -101,16 +100,15 @@ def maximal_segments(hits: list[tuple[int, float]], cost: float = COST) -> list[
 
 
 def scan(text: str, model: Model) -> tuple[int, list[tuple[int, int, float]]]:
-    """The number of tokens of a text and its maximal segments. A word's n-th occurrence in the text scores an n-th of its log-odds."""
-    tokens, known, times = TOKEN.findall(text.lower()), model.of_word, Counter()
+    """The number of tokens of a text and its maximal segments. Every occurrence scores its full log-odds, whatever came before it."""
+    tokens, known = TOKEN.findall(text.lower()), model.of_word
     hits = []
     for i, t in enumerate(tokens):
         s = known.get(t)
         if s is None:
             s = model.look_up(t)
         if s:
-            times[t] += 1
-            hits.append((i, s / times[t]))
+            hits.append((i, s))
     return len(tokens), maximal_segments(hits)
 
 
@@ -185,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, by: int = 5, part: int = 0, rows:
         totals = counts.where(~F.col("token").endswith("-")).agg(F.sum("toxic"), F.sum("other")).first()
         if not totals[0] or not totals[1]:
             return Model()
-        strong = log_odds(counts, *totals).where((F.abs("z") >= SIGMAS) & (F.abs("log_odds") >= ODDS)).orderBy(F.abs("z").desc(), "token").limit(LEXICON).collect()
+        strong = log_odds(counts, *totals).where(F.abs("z") >= SIGMAS).orderBy(F.abs("z").desc(), "token").limit(LEXICON).collect()
     finally:
         counts.unpersist()
     model = Model({r["token"]: r["log_odds"] for r in strong})
