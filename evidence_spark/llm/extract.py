@@ -27,12 +27,16 @@ BLOCKS = set("address article aside blockquote body center dd details dialog dir
              "p pre search section summary table tbody td tfoot th thead tr ul head".split())
 CONTAINERS = {"html", "body", "div", "section", "article", "main", "td", "center"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that never hold article text.
-DROPPED = set("head nav footer aside form button object canvas video audio dialog menu label search".split())
+#: Elements that never hold article text. Forms and class-marked elements are dropped unless they hold most of the page.
+DROPPED = set("head nav footer aside button object canvas video audio dialog menu label search".split())
 #: First or last word of a class, id or role that marks boilerplate, and words before it that say it is absent or elsewhere.
 WORDS = set("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe "
             "subscription signup paywall nav navbar navigation menu breadcrumb breadcrumbs sidebar aside complementary widget widgets footer contentinfo share sharing social related recommended comment comments disqus "
             "reply replies respond discussion pagination pager login search form skip hidden copyright".split())
+#: Words of discussions, which are often longer than what they discuss; and the share of a page's unlinked text above which marks are not
+#: believed, the larger one for discussions and beside an article or main element with text.
+DISCUSSION = set("comment comments disqus reply replies respond discussion".split())
+MOST, ALMOST_ALL = 0.5, 0.9
 TOP = {"header", "masthead", "topbar", "toolbar"}
 ABSENT = {"no", "with", "has", "without", "not"}
 #: What an opening tag closes that has no end tag of its own, and where the search for it stops.
@@ -53,11 +57,19 @@ class Element:
     tag: str
     path: str | None = None  # of a container
     dropped: bool = False
+    never: bool = False  # dropped whatever it holds
+    marks: tuple[int, ...] = ()  # of the forms and class-marked elements around its text
 
 
 @dataclass
 class Reader:
     by_class: bool = True
+    kept: frozenset[int] = frozenset()  # marks that are not believed
+    total: int = 0  # unlinked text, dropped by marks or not
+    shares: list[float] = field(default_factory=list)  # of each mark: the share that it must exceed
+    held: list[int] = field(default_factory=list)  # of each mark: its unlinked text
+    articles: int = 0  # unlinked text in article and main elements
+    beside: list[int | None] = field(default_factory=list)  # of each mark: how much of that it holds, none for a mark inside such an element
     stack: list[Element] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
     buffer: list[str] = field(default_factory=list)
@@ -72,24 +84,48 @@ class Reader:
         self.linked = 0
 
     def data(self, text: str) -> None:
-        if text and not (self.stack and self.stack[-1].dropped):
+        if not text or self.stack and self.stack[-1].never:
+            return
+        linked = any(e.tag == "a" for e in self.stack)
+        if not linked:
+            n = len(text.strip())
+            self.total += n
+            article = n if self.inside("") else 0
+            self.articles += article
+            for k in self.stack[-1].marks if self.stack else ():
+                self.held[k] += n
+                if self.beside[k] is not None:
+                    self.beside[k] += article
+        if not (self.stack and self.stack[-1].dropped):
             self.buffer.append(text)
-            if any(e.tag == "a" for e in self.stack):
+            if linked:
                 self.linked += len(text.strip())
 
-    def boilerplate(self, tag: str, attrs: dict[str, str]) -> bool:
+    def never(self, tag: str, attrs: dict[str, str]) -> bool:
         if tag in DROPPED or "hidden" in attrs or re.search(r"display\s*:\s*none", attrs.get("style", "")):
             return True
-        inside = tag in ("article", "main") or any(e.tag in ("article", "main") for e in self.stack)
-        if tag == "header" and not inside:
-            return True
+        return tag == "header" and not self.inside(tag)
+
+    def inside(self, tag: str) -> bool:
+        return tag in ("article", "main") or any(e.tag in ("article", "main") for e in self.stack)
+
+    def marked(self, tag: str, attrs: dict[str, str]) -> float | None:
+        """The share of the page that a form or class-marked element must exceed to stay; none for other elements."""
+        if tag == "form":
+            return MOST
         if not self.by_class or tag in ("html", "body", "main"):
-            return False
+            return None
+        inside, share = self.inside(tag), None
         for name in f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".lower().split():
             parts = [p for p in re.split(r"[^a-z]+", name) if p]
             if parts and not ABSENT & set(parts) and (parts[0] in WORDS or parts[-1] in WORDS or not inside and (parts[0] in TOP or parts[-1] in TOP)):
-                return True
-        return False
+                share = max(share or 0.0, ALMOST_ALL if DISCUSSION & {parts[0], parts[-1]} else MOST)
+        return share
+
+    def share(self, mark: int) -> float:
+        """The share of the page that a mark's element must exceed to stay, now that the page is read."""
+        beside = self.beside[mark]
+        return ALMOST_ALL if beside is not None and self.articles > beside else self.shares[mark]
 
     def open(self, tag: str, raw: str) -> None:
         if tag in BLOCKS:
@@ -102,13 +138,21 @@ class Reader:
                 self.buffer.append(" ")
             return
         attrs = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(raw)} if raw else {}
-        dropped = bool(self.stack and self.stack[-1].dropped) or self.boilerplate(tag, attrs)
+        above = self.stack[-1] if self.stack else Element("")
+        never = above.never or self.never(tag, attrs)
+        dropped, marks = above.dropped or never, above.marks
+        if not never and (share := self.marked(tag, attrs)) is not None:
+            marks = (*marks, len(self.held))
+            dropped = dropped or len(self.held) not in self.kept
+            self.shares.append(share)
+            self.held.append(0)
+            self.beside.append(None if self.inside("") else 0)
         path = None
         if tag in CONTAINERS and not dropped:
             above = next((e.path for e in reversed(self.stack) if e.path is not None), "")
             classes = sorted(re.sub(r"\d+", "#", c) for c in attrs.get("class", "").split())
             path = f"{above}/{'.'.join([tag, *classes])}"
-        self.stack.append(Element(tag, path, dropped))
+        self.stack.append(Element(tag, path, dropped, never, marks))
 
     def pop(self, tags: set[str], stop: set[str]) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
@@ -129,9 +173,8 @@ class Reader:
                 return  # a stray inline end tag never closes a block
 
 
-def read_blocks(page: str, by_class: bool = True) -> list[Block]:
-    """The text blocks of a page outside boilerplate elements, in order, each with the paths of the containers around it."""
-    reader, at = Reader(by_class), 0
+def read_page(page: str, by_class: bool = True, kept: frozenset[int] = frozenset()) -> Reader:
+    reader, at = Reader(by_class, kept), 0
     for m in MARKUP.finditer(page):
         reader.data(page[at: m.start()])
         at = m.end()
@@ -145,7 +188,15 @@ def read_blocks(page: str, by_class: bool = True) -> list[Block]:
     cut_off = re.search(r"<[a-zA-Z/][^>]*\Z", tail)
     reader.data(tail[: cut_off.start()] if cut_off else tail)
     reader.flush()
-    return reader.blocks
+    return reader
+
+
+def read_blocks(page: str, by_class: bool = True) -> list[Block]:
+    """The text blocks of a page outside boilerplate elements, in order, each with the paths of the containers around it. Pages are read
+    again if a form or class-marked element turns out to hold most of their unlinked text; that element then stays."""
+    reader = read_page(page, by_class)
+    kept = frozenset(k for k, n in enumerate(reader.held) if n > reader.share(k) * reader.total)
+    return read_page(page, by_class, kept).blocks if kept else reader.blocks
 
 
 def page_blocks(page: str) -> list[Block]:
