@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence_spark.llm import decontaminate, extract, packing, quality, simhash, tokens, toxicity, urls, vptree, warc
+from evidence_spark.llm import decontaminate, extract, packing, quality, runs, simhash, tokens, toxicity, urls, vptree, warc
 from evidence_spark.session import checkpoint_folder
 
 QUERIES: dict = {}
@@ -109,3 +109,15 @@ def _(spark, sf):
 @query("op8_main_text")
 def _(spark, sf):
     return extract.extract_pages(read(spark, sf, "pages"))
+
+
+@query("op12_periodic_runs")
+def _(spark, sf):
+    found = runs.periodic_runs(runs.with_repeated_tail(read(spark, sf, "documents").select("doc_id", "text")))
+    # the longest run; of equally long ones the first, then that of the smallest period
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    found = found.withColumn("_best", F.array_max(order))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"), F.col("_best.length").alias("length"), (-F.col("_best.period")).alias("period"),
+        F.expr("_best.length * 1000 div -_best.period").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
