@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence_spark.llm import decontaminate, extract, packing, quality, runs, simhash, tokens, toxicity, urls, vptree, warc
+from evidence_spark.llm import decontaminate, extract, packing, quality, runs, simhash, tokens, toxicity, urls, vptree, warc, whitening
 from evidence_spark.session import checkpoint_folder
 
 QUERIES: dict = {}
@@ -121,3 +121,9 @@ def _(spark, sf):
     return found.select(
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"), F.col("_best.length").alias("length"), (-F.col("_best.period")).alias("period"),
         F.expr("_best.length * 1000 div -_best.period").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op11_whitening")
+def _(spark, sf):
+    rows = read(spark, sf, "embeddings").select("vec_id", whitening.whole_numbers(F.col("embedding"), 64, 1_000_000).alias("x"))
+    return whitening.whitened(rows, whitening.fit(rows, 16))
