@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidence_spark.llm import decontaminate, extract, packing, quality, runs, simhash, tokens, toxicity, urls, vptree, warc, whitening
+from evidence_spark.llm import decontaminate, extract, impacts, packing, quality, runs, simhash, tokens, toxicity, urls, vptree, warc, whitening
 from evidence_spark.session import checkpoint_folder
 
 QUERIES: dict = {}
@@ -127,3 +127,9 @@ def _(spark, sf):
 def _(spark, sf):
     rows = read(spark, sf, "embeddings").select("vec_id", whitening.whole_numbers(F.col("embedding"), 64, 1_000_000).alias("x"))
     return whitening.whitened(rows, whitening.fit(rows, 16))
+
+
+@query("op13_exact_top")
+def _(spark, sf):
+    rows = read(spark, sf, "embeddings").select("vec_id", impacts.whole_numbers(F.col("embedding"), 1024).alias("x"))
+    return impacts.exact_top(rows, rows.where("vec_id % 100 = 0"), 10)
