@@ -20,8 +20,12 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str, by: int, part
     """(text, label) of at most ``rows`` labelled rows outside the held-out part, picked by the hash of their id.
 
     The picked ids are bounded by ``rows`` and broadcast. Null labels and ids without a document give nothing; an id labelled twice gives a
-    row per label, a repeated document a row each.
+    row per label; of documents with the same id the text that sorts first counts, so there are never more than ``rows``.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), by) != part))
     picked = known.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label")).distinct().orderBy(F.xxhash64("_id", F.lit(by)), "_id", "_label").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select(F.coalesce("text", F.lit("")).alias("text"), F.col("_label").alias("label"))
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
+    texts = found.select("_id", F.coalesce("text", F.lit("")).alias("text"), F.col("_label").alias("label"))
+    if not found.groupBy("_id", "_label").count().where("count > 1").isEmpty():
+        texts = texts.groupBy("_id", "label").agg(F.min("text").alias("text"))
+    return texts.select("text", "label")

@@ -17,11 +17,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidence_spark.llm.labelled import held_out, training_texts
+from evidence_spark.session import cut
 
 TOKEN = re.compile(r"[^\W_]+")
 #: A word outside the lexicon is looked up by its beginnings of these lengths, so that forms never seen are known by their stem.
@@ -31,7 +32,7 @@ SAMPLE = 200_000
 #: Weight of the prior against the counts, the least standard deviations of a lexicon token, and the lexicon's bound (the furthest from zero stay).
 PRIOR, SIGMAS, LEXICON = 0.1, 3.0, 20_000
 #: Words whose score a worker keeps; beyond that the table begins anew.
-KNOWN = 250_000
+KNOWN = 100_000
 #: What each token costs a segment.
 COST = 0.1
 #: Segments expected less often than this in clean text are reported as passages.
@@ -76,27 +77,32 @@ class Model:
 def maximal_segments(hits: list[tuple[int, float]], cost: float = COST) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first token, last token, score) of a text given by its lexicon tokens (position, log-odds).
 
-    Every other token scores -cost, so only lexicon tokens can begin or end a segment. For each positive token the candidates before it are
-    searched for the last one that began lower; the two are joined if the newer one ends higher.
+    Every other token scores -cost, so only lexicon tokens can begin or end a segment. A positive token looks for the last candidate that began
+    lower, along links from each candidate to the last one below it; what a link passes over is never looked at again. If the newer one ends
+    higher, both are joined, and the joined one has the link of the older. If no candidate began lower, all of them are final.
     """
-    found: list[list] = []  # first, last, sum before, sum after
+    final: list[list] = []
+    found: list[list] = []  # first, last, sum before, sum after, place of the last candidate that began lower
     total, at = 0.0, 0
     for position, score in hits:
         before = total - cost * (position - at)
         total, at = before + score - cost, position + 1
         if total <= before:
             continue
-        new = [position, position, before, total]
-        while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
-                break
-            new[0], new[2] = found[j][0], found[j][2]
+        new = [position, position, before, total, -1]
+        j = len(found) - 1
+        while j >= 0 and found[j][2] >= new[2]:
+            j = found[j][4]
+        while j >= 0 and found[j][3] < new[3]:
+            new[0], new[2], below = found[j][0], found[j][2], found[j][4]
             del found[j:]
-    return [(a, b, high - low) for a, b, low, high in found]
+            j = below
+        if j < 0:
+            final += found
+            found.clear()
+        new[4] = j
+        found.append(new)
+    return [(a, b, high - low) for a, b, low, high, _ in final + found]
 
 
 def scan(text: str, model: Model) -> tuple[int, list[tuple[int, int, float]]]:
@@ -115,8 +121,6 @@ def scan(text: str, model: Model) -> tuple[int, list[tuple[int, int, float]]]:
 def token_counts(texts: DataFrame) -> DataFrame:
     """(token, toxic, other): in how many toxic and other texts each token occurs, counted in each task before the shuffle."""
     def run(frames):
-        import pyarrow as pa
-
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
 
         def flush():
@@ -176,7 +180,11 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int
 
 
 def train(docs: DataFrame, labels: DataFrame, by: int = 5, part: int = 0, rows: int = SAMPLE) -> Model:
-    """Learn from at most ``rows`` labelled documents outside the held-out part. Without both labels the model finds nothing toxic."""
+    """Learn from at most ``rows`` labelled documents outside the held-out part. Without both labels the model finds nothing toxic.
+
+    Null and empty texts have no tokens but count as documents; null labels, repeated documents and labels without a document are
+    those of ``training_texts``; empty tables give the model that finds nothing. Other columns are not read.
+    """
     texts = training_texts(docs, labels, "toxic", by, part, rows)
     counts = token_counts(texts).persist()
     try:
@@ -195,30 +203,36 @@ def train(docs: DataFrame, labels: DataFrame, by: int = 5, part: int = 0, rows:
     if (shares * scores).sum() < 0:
         model.lam = solve_lambda(scores, shares)
 
-    def run(frames):
-        import pyarrow as pa
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most LEXICON tokens
 
+    def run(frames):
         for frame in frames:
-            seen = [scan(t.as_py(), model) for t in frame.column("text")]
-            yield pa.RecordBatch.from_arrays([
-                frame.column("label"), pa.array([n for n, _ in seen], pa.int64()), pa.array([[s for _, _, s in found] for _, found in seen], pa.list_(pa.float64()))], ["label", "n", "scores"])
-
-    rows_ = texts.mapInArrow(run, "label int, n long, scores array<double>").toArrow().to_pylist()
-    clean_best = [(r["n"], max(r["scores"], default=0.0)) for r in rows_ if not r["label"] > 0 and r["n"]]
-    model.k = len(clean_best) / max(sum(n * np.exp(-model.lam * s) for n, s in clean_best), 1e-300)
-    evidence = np.array([(1.0, *model.evidence(r["n"], [(0, 0, s) for s in r["scores"]])) for r in rows_])
-    order = np.lexsort((*evidence.T, [r["label"] for r in rows_]))  # the same sums however the tasks end
-    y = np.array([float(r["label"] > 0) for r in rows_])
-    model.weights = tuple(fit_logistic(evidence[order], y[order]).tolist())
+            for k in range(0, frame.num_rows, 256):
+                part = frame.slice(k, 256)
+                seen = [scan(t, shared.value) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("label"), pa.array([n for n, _ in seen], pa.int64()), pa.array([[s for _, _, s in found] for _, found in seen], pa.list_(pa.float64()))], ["label", "n", "scores"])
+
+    seen = cut(texts.mapInArrow(run, "label int, n long, scores array<double>"))
+    best = F.coalesce(F.array_max("scores"), F.lit(0.0))
+    clean, weight = seen.where("label <= 0 and n > 0").agg(F.count(F.lit(1)), F.sum(F.col("n") * F.exp(-model.lam * best))).first()
+    model.k = float(f"{clean / max(weight or 0.0, 1e-300):.12g}")  # the same however the tasks end
+    rare = F.transform("scores", lambda s: F.greatest(F.lit(0.0), (s * model.lam - F.log(F.greatest(F.col("n") * model.k, F.lit(1e-300)))) / float(np.log(10))))
+    evidence = seen.select("label", F.log1p(F.coalesce(F.array_max(rare), F.lit(0.0))).alias("best"), F.log1p(F.aggregate(rare, F.lit(0.0), lambda a, x: a + x)).alias("total"))
+    rows_ = evidence.orderBy("label", "best", "total").toArrow()  # two numbers a document, at most ``rows`` documents
+    best, total = (rows_.column(c).to_numpy() for c in ("best", "total"))
+    model.weights = tuple(fit_logistic(np.stack([np.ones(len(best)), best, total], axis=1), (rows_.column("label").to_numpy() > 0).astype(float)).tolist())
     return model
 
 
 def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with the probability that the whole text is toxic; null and empty texts hold no segment."""
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield pd.Series([model.probability(*scan(t or "", model)) for t in texts], dtype=float)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([shared.value.probability(*scan(t or "", shared.value)) for k in range(0, len(texts), 256) for t in texts.slice(k, 256).to_pylist()], pa.float64())
 
     return docs.withColumn(name, score(F.col("text")))
 
@@ -230,12 +244,13 @@ def score_toxicity(docs: DataFrame, model: Model, by: int = 5, part: int = 0) ->
 
 
 def toxic_passages(docs: DataFrame, model: Model, rare: float = RARE) -> DataFrame:
-    """One row per significant passage: doc_id, first and last token (from 0), char_start, char_end, passage, score, expected (times in clean text)."""
+    """One row per significant passage: doc_id, first and last token (from 0), char_start, char_end, passage, score, expected (times in clean text).
+
+    Null and empty texts have none, repeated rows give theirs each, an empty table no rows. Other columns are not read.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(frames):
-        import pyarrow as pa
-
         for frame in frames:
             for doc_id, value in zip(frame.column("doc_id"), frame.column("text"), strict=True):
                 text = value.as_py() or ""

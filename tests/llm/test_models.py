@@ -115,3 +115,50 @@ def test_lambda_solves_the_moment_equation():
     scores, shares = np.array([2.0, -0.5]), np.array([0.1, 0.9])
     lam = toxicity.solve_lambda(scores, shares)
     assert lam > 0 and abs((shares * np.exp(lam * scores)).sum() - 1) < 1e-9
+
+
+def test_segments_take_linear_time():
+    import time
+
+    rng = random.Random(5)
+    took = []
+    for n in (100_000, 200_000, 400_000):
+        hits = [(i, rng.choice([2.0, 1.0]) if rng.random() < 0.375 else -1.0) for i in range(n) if rng.random() < 0.16]
+        start = time.process_time()
+        toxicity.maximal_segments(hits)
+        took.append(time.process_time() - start)
+    assert took[2] < 8 * max(took[0], 0.02) and took[2] < 3
+
+
+def test_training_equals_a_plain_version(spark):
+    docs, labels = documents(spark, 600)
+    model = toxicity.train(docs, labels)
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [(r.text, toxic[r.doc_id]) for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    counts = {}
+    for text, y in rows:
+        words = set(toxicity.TOKEN.findall(text.lower()))
+        for w in words | {w[:n] + "-" for n in toxicity.STEMS for w in words if len(w) > n}:
+            counts.setdefault(w, [0, 0])[y] += 1
+    totals = [sum(c[y] for w, c in counts.items() if not w.endswith("-")) for y in (0, 1)]
+    prior, whole, odds = toxicity.PRIOR, toxicity.PRIOR * sum(totals), {}
+    for w, (other, bad) in counts.items():
+        a = prior * (other + bad)
+        x, y = (math.log(c + a) - math.log(t + whole - c - a) for c, t in ((bad, totals[1]), (other, totals[0])))
+        if abs(x - y) >= toxicity.SIGMAS * math.sqrt(1 / (bad + a) + 1 / (other + a)):
+            odds[w] = x - y
+    assert model.log_odds.keys() == odds.keys() and all(math.isclose(model.log_odds[w], v, rel_tol=1e-9) for w, v in odds.items())
+    shares = {w: max(counts[w][0], 0.5) for w in odds} | {"": max(totals[0] - sum(counts[w][0] for w in odds), 1.0)}
+    moment = sum(s * math.exp(model.lam * (odds.get(w, 0.0) - toxicity.COST)) for w, s in shares.items()) / sum(shares.values())
+    assert math.isclose(moment, 1, rel_tol=1e-9)
+    best = [(n, max((s for *_, s in found), default=0.0)) for n, found in (toxicity.scan(t, model) for t, y in rows if not y)]
+    assert math.isclose(model.k, len(best) / sum(n * math.exp(-model.lam * s) for n, s in best), rel_tol=1e-9)
+
+
+def test_training_rows_are_bounded(spark):
+    from evidence_spark.llm.labelled import training_texts
+
+    docs, labels = documents(spark, 60)
+    many = docs.unionByName(docs).unionByName(docs.limit(0))
+    got = training_texts(many, labels, "toxic", 5, 0, 30).collect()
+    assert len(got) == 30 and len({r.text for r in got}) == 30
