@@ -4,7 +4,7 @@ import tempfile
 import zlib
 
 import corpus_pipeline as C
-from test_simhash import brute_components, brute_print
+from test_shingles import brute_groups
 from test_urls_decontaminate import brute
 
 from evidence_spark.llm import quality, toxicity
@@ -21,8 +21,8 @@ def test_every_stage_equals_its_plain_version(spark):
     scorer = quality.Scorer(bucket, bias)
 
     def plain_near(rows):
-        found = brute_components([(i, brute_print(t)) for i, t in rows])
-        return [r for k, r in enumerate(rows) if found[k] == r[0]]
+        rows = sorted(rows)
+        return [rows[k] for k in sorted(set(brute_groups([t for _, t in rows])))]
 
     plain = {
         "quality": lambda rows: [r for r in rows if scorer(r[1]) >= 0],
