@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from evidence_spark.session import cut
 
-#: Words and word parts kept with their ids by a worker; beyond that the table begins anew.
-KNOWN = 1_000_000
+#: Words kept with their ids by a worker, about 40 MB. A full table takes no more, and begins anew after FORGOTTEN words that it did not hold.
+KNOWN, FORGOTTEN = 200_000, 2_000_000
+#: A word is kept from its second sighting on: marks of words seen once, a byte each, and how many may be set before they are wiped.
+MARKS, SIGHTED = 1 << 22, 1_000_000
 #: Pieces that one task packs again; more are dealt to several tasks.
 TOGETHER = 200_000
 #: A lower-case Latin-1 letter run and a run of ASCII signs without apostrophe: the pre-tokenizer cuts exactly between them.
@@ -46,26 +48,54 @@ class Ids:
 
     def _clear(self) -> None:
         self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
+        self.signs: dict[str, bytes] = {"": b""}
+        self.marks, self.sighted, self.missed = bytearray(MARKS), 0, 0
 
     def _learn(self, words: set[str]) -> None:
+        """Put the ids of new words into the table."""
         cuts = {w: m.groups() if (m := SIMPLE.fullmatch(w.lower())) and "<|" not in w else None for w in words}
-        new = list({p for c in cuts.values() if c for p in c if p not in self.parts})
+        known, signs = self.words, self.signs
+        if len(signs) > 10_000:
+            signs.clear()
+            signs[""] = b""
+        new = list({c[0] for c in cuts.values() if c and c[0] not in known} | {c[1] for c in cuts.values() if c and c[1] not in signs})
+        parts = {}
         if new:  # each part is one pre-token and so ends with the only word-final token in it
             ids = np.array(self.library.encode(" ".join(new), add_special_tokens=False).ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
             flat, at = ids.astype("<u4").tobytes(), 0
             for p, stop in zip(new, (4 * stops).tolist(), strict=True):
-                self.parts[p] = flat[at:stop]
+                parts[p] = flat[at:stop]
                 at = stop
         hard = [w for w, c in cuts.items() if c is None]
         for w, e in zip(hard, self.library.encode_batch(hard, add_special_tokens=False), strict=True):
-            self.words[w] = np.array(e.ids, "<u4").tobytes()
-        self.words.update((w, self.parts[c[0]] + self.parts[c[1]]) for w, c in cuts.items() if c)
+            known[w] = np.array(e.ids, "<u4").tobytes()
+        for w, c in cuts.items():
+            if c:
+                if c[1] in parts:
+                    signs[c[1]] = parts[c[1]]
+                known[w] = (known[c[0]] if c[0] in known else parts[c[0]]) + signs[c[1]]
+
+    def _forget(self, words: set[str]) -> None:
+        """Take out of the table those of some new words that were not seen before, or all of them if it is full."""
+        marks = self.marks
+        if len(self.words) > KNOWN:
+            self.missed += len(words)
+            for w in words:
+                del self.words[w]
+            return
+        for w in words:
+            k = hash(w) & (MARKS - 1)
+            if not marks[k]:
+                marks[k] = 1
+                self.sighted += 1
+                del self.words[w]
+        if self.sighted > SIGHTED:
+            self.marks, self.sighted = bytearray(MARKS), 0
 
     def of(self, texts: list[str]) -> list[bytes]:
         cut_up = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.words) > KNOWN:
+        if self.missed > FORGOTTEN:
             self._clear()
         out = []
         for ws in cut_up:
@@ -74,9 +104,11 @@ class Ids:
             except KeyError:
                 out.append(None)
         late = [k for k, ids in enumerate(out) if ids is None]
-        self._learn({w for k in late for w in cut_up[k] if w not in self.words})
+        new = {w for k in late for w in cut_up[k] if w not in self.words}
+        self._learn(new)
         for k in late:
             out[k] = b"".join([self.words[w] for w in cut_up[k]])
+        self._forget(new)
         return out
 
 
@@ -193,18 +225,19 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 4096, separator: int
         import pyarrow as pa
 
         library, gaps, base = ids_of(spec.value), Gaps(capacity), _base(0)
-        owners, rows = [], []
+        owners, placed = [], []  # of the pieces only numbers are held: some 60 bytes each
         for frame in frames:
             for k in range(0, frame.num_rows, 256):
                 part = frame.slice(k, 256)
-                taken = []
+                taken, rows = [], []
                 for i, ids in enumerate(library.of([t or "" for t in part.column("text").to_pylist()])):
                     for j, p in enumerate(cut_pieces(ids, capacity, separator)):
                         taken.append(i)
                         rows.append((j, j * capacity, len(p) // 4, zlib.crc32(p), *gaps.place(len(p) // 4)))
                 owners.append(part.column("doc_id").take(pa.array(taken, pa.int64())))
-        if rows:
-            piece, start, length, crc, sequence, offset = np.array(rows, np.int64).T
+                placed.append(np.array(rows, np.int64).reshape(-1, 6))
+        if owners:
+            piece, start, length, crc, sequence, offset = np.concatenate(placed).T
             yield _placed_batch(pa.concat_arrays(owners), piece, start, length, crc, sequence, offset, np.array(gaps.gap), base)
 
     def again(round_):

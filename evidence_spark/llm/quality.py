@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +25,7 @@ GRAMS = (2, 3, 4)
 #: Labelled documents used for training (a bound; the sample is picked by the hash of the id).
 SAMPLE = 3000
 #: Words whose score a worker keeps; beyond that the table begins anew.
-KNOWN = 250_000
+KNOWN = 100_000
 #: The event that a word is the same as the one before it: the last bucket.
 AGAIN = BUCKETS - 1
 
@@ -116,8 +116,6 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs: in
 
 def train(docs: DataFrame, labels: DataFrame, by: int = 3, part: int = 1, rows: int = SAMPLE) -> Model:
     def run(frames):
-        import pyarrow as pa
-
         for frame in frames:
             for text, label in zip(frame.column("text"), frame.column("label").to_pylist(), strict=True):
                 ids, weights = features(text.as_py())
@@ -165,11 +163,11 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     folded, bias = model.folded()
     bucket = docs.sparkSession.sparkContext.broadcast(folded)  # half a megabyte, whatever the data
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(bucket.value, bias)
-        for texts in parts:
-            z = np.array([scorer(t or "") for t in texts], float)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+        for texts in batches:
+            z = np.array([scorer(t or "") for k in range(0, len(texts), 256) for t in texts.slice(k, 256).to_pylist()], float)
+            yield pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))), pa.float64())
 
     return docs.withColumn(name, score(F.col("text")))
