@@ -28,6 +28,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch on its way to a worker: buffers double as they grow, and a task holds some on both sides.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's bound of Arrow batches to BATCH_BYTES, so that a batch of long texts stays small."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
