@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from evidence_spark.functions import keys as K
 from evidence_spark.functions import rules as R
 from evidence_spark.functions import text as X
+from evidence_spark.operators import lineage as L
 
 
 def atomic_seeds(records: DataFrame, topics: Mapping[str, Sequence[str]] | None = None, min_chars: int = 35) -> DataFrame:
@@ -107,7 +108,8 @@ def bundle_evidence(seeds: DataFrame, records: DataFrame) -> DataFrame:
     """Evidence of a seed: its records' text in order, with the weakest attribution and all risks.
 
     ``seeds`` has ``media_id, seed_id, record_ids``; ``records`` has ``media_id, record_id, text, speaker, speaker_status,
-    speaker_confidence, exact_quote_allowed, provider, start_s, end_s`` and maybe ``n_conflicts, from_meaningful_unmerged``.
+    speaker_confidence, exact_quote_allowed, provider, start_s, end_s`` and maybe ``n_conflicts, from_meaningful_unmerged, source_ranges,
+    source_hashes``. The evidence has the ranges of its records in their order; without any it has one range that names the records only.
     """
     have = set(records.columns)
     opt = lambda n, d: F.coalesce(F.col(n), d) if n in have else d
@@ -115,20 +117,28 @@ def bundle_evidence(seeds: DataFrame, records: DataFrame) -> DataFrame:
         F.col("media_id").alias("_m"), F.col("record_id").cast("string").alias("record_id"), X.strip("text").alias("t"), F.nullif("speaker", F.lit("")).alias("speaker"),
         F.coalesce("speaker_status", F.lit("unknown")).alias("st"), F.coalesce("speaker_confidence", F.lit(0.0)).alias("cf"),
         F.coalesce("exact_quote_allowed", F.lit(False)).alias("ex"), F.coalesce("provider", F.lit("unknown")).alias("pr"), "start_s", "end_s",
-        opt("n_conflicts", F.lit(0)).alias("nc"), opt("from_meaningful_unmerged", F.lit(False)).alias("fm"))
+        opt("n_conflicts", F.lit(0)).alias("nc"), opt("from_meaningful_unmerged", F.lit(False)).alias("fm"),
+        opt("source_ranges", L.no_ranges()).alias("sr"), opt("source_hashes", F.create_map().cast("map<string,string>")).alias("sh"))
     rows = expand_ids(seeds.select("media_id", "seed_id", "record_ids"), "record_ids", dim, "record_id", "record_id").where(F.col("_m") == F.col("media_id"))
-    ordered = F.array_sort(F.collect_list(F.struct("ref_pos", "t", "record_id")))
+    ordered = F.array_sort(F.collect_list(F.struct("ref_pos", "t", "record_id", "sr")))
+    hashes = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.map_entries("sh")))))
     g = rows.groupBy("media_id", "seed_id").agg(
         ordered.alias("_o"), F.min("speaker").alias("_lo"), F.max("speaker").alias("_hi"),
         F.bool_and(F.col("st") == "source_provided").alias("_given"), F.bool_and(F.col("st").isin("source_provided", "section_inferred")).alias("_inferred"),
         F.bool_or(F.col("st") == "boundary_uncertain").alias("_edge"), F.min("cf").alias("speaker_confidence"), F.bool_and("ex").alias("exact_quote_allowed"),
         F.min("start_s").alias("start_s"), F.max("end_s").alias("end_s"), F.array_join(F.array_sort(F.collect_set("pr")), ",").alias("provider"),
-        F.sum("nc").alias("n_conflicts"), F.bool_or("fm").alias("from_meaningful_unmerged"))
+        F.sum("nc").alias("n_conflicts"), F.bool_or("fm").alias("from_meaningful_unmerged"), hashes.alias("_hashes"))
     g = g.withColumn("source_text", F.array_join(F.filter(F.transform("_o", lambda r: r["t"]), lambda t: t != ""), " ")).where("source_text <> ''")
     g = g.withColumn("source_record_ids", F.transform("_o", lambda r: r["record_id"])).withColumn("_r", X.risk_summary("source_text"))
     status = F.when(F.col("_given"), "source_provided").when(F.col("_inferred"), "section_inferred").when(F.col("_edge"), "boundary_uncertain").otherwise("unknown")
     risky = ((F.size("_r.numeric_risks") > 0) | (F.size("_r.entity_risks") > 0) | (F.size("_r.negation_risks") > 0) | (F.col("n_conflicts") > 0) | ~F.col("exact_quote_allowed"))
+    ranges = F.flatten(F.transform("_o", lambda r: r["sr"]))
+    unknown = F.array(L.range_of(F.lit("canonical_record"), F.lit(None), F.lit(None), F.lit(None), "record"))
+    # sources of one name with different hashes keep all of them under numbered names
+    name = lambda e, i: F.when(F.exists(F.slice("_hashes", 1, i), lambda x: x["key"] == e["key"]), F.concat(e["key"], F.lit("#"), i.cast("string"))).otherwise(e["key"])
+    by_source = F.map_from_entries(F.transform("_hashes", lambda e, i: F.struct(name(e, i), e["value"])))
     return g.select(
+        F.when(F.size(ranges) > 0, ranges).otherwise(unknown).alias("source_ranges"), by_source.alias("source_hashes"),
         "media_id", "seed_id", K.stable_id("ev", "media_id", F.concat_ws("|", "source_record_ids"), "source_text").alias("evidence_id"), "source_record_ids", "source_text",
         F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("speaker"), status.alias("speaker_status"), "speaker_confidence", "exact_quote_allowed",
         "start_s", "end_s", "provider", "_r.numeric_risks", "_r.entity_risks", "_r.negation_risks", "n_conflicts", "from_meaningful_unmerged",

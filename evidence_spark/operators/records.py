@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidence_spark.functions import keys as K
 from evidence_spark.functions import text as X
+from evidence_spark.operators import lineage as L
 
 
 def evidence_rows(chunks: DataFrame, url: str = "media_url") -> DataFrame:
@@ -22,9 +23,10 @@ def evidence_rows(chunks: DataFrame, url: str = "media_url") -> DataFrame:
 
 
 def canonical_records(fused: DataFrame, mode: str, url: str = "media_url") -> DataFrame:
-    """Fill ids, links, statuses and quote permission; the input keeps all its other columns.
+    """Fill ids, links, statuses, quote permission, source ranges and source hashes; the input keeps all its other columns.
 
-    Optional columns that the input lacks count as NULL.
+    Optional columns that the input lacks count as NULL. Rows without ranges that know their place in a second source
+    (``secondary_char_start``, ``secondary_char_end``) get that as a projected range.
     """
     have = set(fused.columns)
     get = lambda name, kind: F.col(name).cast(kind) if name in have else F.lit(None).cast(kind)
@@ -43,7 +45,13 @@ def canonical_records(fused: DataFrame, mode: str, url: str = "media_url") -> Da
     if "text_sources" in have:
         provider = F.coalesce(F.nullif(F.array_join("text_sources", ","), F.lit("")), provider)
     ids = [get(c, "string") for c in ("record_id", "segment_id")]
+    projected = F.when(get("secondary_char_start", "long").isNotNull(), F.array(L.range_of(
+        F.coalesce(get("text_source", "string"), F.lit("secondary_transcript")), get("secondary_char_start", "long"), get("secondary_char_end", "long"), F.lit(None), "semantic_projection")))
+    ranges = F.coalesce(projected, L.no_ranges())
+    if "source_ranges" in have:
+        ranges = F.when(F.size("source_ranges") > 0, F.col("source_ranges")).otherwise(ranges)
     new = {
+        "source_ranges": ranges, "source_hashes": F.coalesce(get("source_hashes", "map<string,string>"), F.create_map().cast("map<string,string>")),
         "record_id": F.coalesce(*ids), "text": F.coalesce("text", F.lit("")), "start_s": F.coalesce("start_s", F.lit(0.0)),
         "end_s": F.coalesce("end_s", F.lit(0.0)), "source_url": F.coalesce(get("source_url", "string"), K.deep_link(url, "start_s")),
         "provider": provider, "speaker_status": status, "speaker_confidence": confidence, "attribution_scope": scope,

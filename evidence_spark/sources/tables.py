@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,17 +18,36 @@ NOTE_RAW = "raw structure text kept without alignment confidence"
 NOTE_NONE = "all sources missing"
 
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType, mode: str = "fail") -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, _file, _line) of every line of text files, lines counted from 1 and blank ones included.
+
+    Files are read in splits. The lines of a split are consecutive ids of one task, so a line's place in its split is its id less the split's
+    first; what comes before the split is a running sum over the line counts of the file's splits, a row each.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_id"))
+    splits = lines.groupBy("_file", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select("_file", "_split", (F.coalesce(earlier, F.lit(0)) - F.col("_first") + 1).alias("_offset"))
+    return lines.join(offsets, ["_file", "_split"]).select("value", "_file", (F.col("_id") + F.col("_offset")).alias("_line"))
+
+
+def read_records(spark: SparkSession, path: str, schema: T.StructType | str, mode: str = "fail") -> DataFrame:
     """JSON lines with an explicit schema; blank lines are skipped.
 
-    ``fail`` stops at a malformed row or a row that is no object. ``report`` keeps going and returns rows with
-    ``_corrupt`` and ``_file`` set where a row is bad.
+    ``fail`` stops at a malformed row or a row that is no object, with an error that names its file and line. ``report`` keeps going and
+    returns rows with ``_corrupt`` (the line, null where it is good), ``_file`` and ``_line``.
     """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    full = T.StructType([*fields.fields, T.StructField("_corrupt", T.StringType())])
+    rows = numbered_lines(spark, path).where(F.length(F.trim(F.translate("value", "\t\r", "  "))) > 0)
+    rows = rows.withColumn("_row", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    bad = F.col("_row").isNull() | F.col("_row._corrupt").isNotNull() | ~F.ltrim("value").startswith("{")
+    columns = [F.when(~bad, F.col("_row")[f.name]).alias(f.name) for f in fields.fields]
     if mode == "fail":
-        return spark.read.schema(schema).json(path, mode="FAILFAST")
-    full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.schema(full).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
-    return rows.withColumn("_file", F.col("_metadata.file_path"))
+        where = F.concat(F.lit("malformed row in "), F.col("_file"), F.lit(" line "), F.col("_line").cast("string"))
+        return rows.where(F.when(bad, F.raise_error(where).cast("boolean")).otherwise(F.lit(True))).select(*columns)
+    return rows.select(*columns, F.when(bad, F.col("value")).alias("_corrupt"), "_file", "_line")
 
 
 def write_records(df: DataFrame, path: str, order_by: Sequence[str], fmt: str = "parquet", partitions: int | None = None) -> None:
