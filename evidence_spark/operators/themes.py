@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidence_spark.functions import rules as R
-from evidence_spark.operators.vectors import similar_pairs
+from evidence_spark.operators.tiles import similar_pairs
 from evidence_spark.session import small
 
 # fixed values

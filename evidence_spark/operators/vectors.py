@@ -168,10 +168,14 @@ def _tiles(rows: DataFrame, idx: str, keys: Sequence[str], name: str) -> DataFra
 
 
 def _tile_pairs(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pairs of tiles of one recording; a tile holds at most TILE vectors."""
+    """Pairs of tiles of one recording; a tile holds at most TILE vectors. Tile numbers are paired first and vectors joined to them by number,
+    so a long recording is not one join key."""
     from evidence_spark.session import spread
 
-    return spread(_tiles(source, "idx", keys, "a").join(_tiles(target, "idx", keys, "b"), list(keys)), *keys, "_ta", "_tb")
+    number = lambda df, name: df.select(*keys, F.floor(F.col("idx") / TILE).alias(name))
+    ends = number(target, "_tb").groupBy(*keys).agg(F.min("_tb").alias("_from"), F.max("_tb").alias("_to"))
+    pairs = number(source, "_ta").distinct().join(ends, list(keys)).select(*keys, "_ta", F.explode(F.sequence("_from", "_to")).alias("_tb"))
+    return spread(spread(pairs, *keys, "_ta", "_tb").join(_tiles(source, "idx", keys, "a"), [*keys, "_ta"]).join(_tiles(target, "idx", keys, "b"), [*keys, "_tb"]), *keys, "_ta", "_tb")
 
 
 def _matrix(a, b) -> np.ndarray:
@@ -206,6 +210,12 @@ def rectangle_baselines(source: DataFrame, target: DataFrame, k: int = 4, keys:
     return g.select(*keys, "side", "idx", (F.aggregate("top", F.lit(0.0), lambda s, v: s + v) / F.size("top")).alias("baseline"))
 
 
+def _with_baseline(rows: DataFrame, baselines: DataFrame, side: str, keys: Sequence[str]) -> DataFrame:
+    """The baseline rides along as one more number of the vector."""
+    own = baselines.where(F.col("side") == side).select(*keys, "idx", "baseline")
+    return rows.join(own, [*keys, "idx"]).select(*keys, "idx", F.concat("vector", F.array("baseline")).alias("vector"))
+
+
 def rectangle_rank(source: DataFrame, target: DataFrame, fraction: float, kind: str, keys: Sequence[str] = ("media_id",), baselines: DataFrame | None = None,
                    scale: DataFrame | None = None, name: str = "value") -> DataFrame:
     """Exact nearest-rank value per recording over all (row, column) cells, without listing the cells.
@@ -219,11 +229,7 @@ def rectangle_rank(source: DataFrame, target: DataFrame, fraction: float, kind:
     keys = list(keys)
     src, tgt = source, target
     if baselines is not None:
-        a = baselines.where("side = 'a'").select(*keys, "idx", F.col("baseline"))
-        b = baselines.where("side = 'b'").select(*keys, "idx", F.col("baseline"))
-        # the baseline rides along as one more number of the vector
-        src = source.join(a, [*keys, "idx"]).withColumn("vector", F.concat("vector", F.array("baseline"))).select(*keys, "idx", "vector")
-        tgt = target.join(b, [*keys, "idx"]).withColumn("vector", F.concat("vector", F.array("baseline"))).select(*keys, "idx", "vector")
+        src, tgt = _with_baseline(source, baselines, "a", keys), _with_baseline(target, baselines, "b", keys)
     pairs = _tile_pairs(src, tgt, keys)
     if scale is not None:
         pairs = pairs.join(scale.select(*keys, "lo", "hi"), keys)
@@ -284,6 +290,34 @@ def rectangle_rank(source: DataFrame, target: DataFrame, fraction: float, kind:
     return placed.join(where, keys).where("_left >= _lo and _left < _lo + n").select(*keys, F.col("v").alias(name))
 
 
+def rectangle_margins(source: DataFrame, target: DataFrame, least: float, k: int = 4, keys: Sequence[str] = ("media_id",)) -> DataFrame:
+    """(keys, i, j, raw, margin, score): the cells of each recording's whole rectangle whose scaled margin is ``least`` or more.
+
+    As :func:`margin_scores` over all pairs: baselines and both ranks are those of the rectangle, but only the asked cells leave a task.
+    """
+    keys = list(keys)
+    base = cut(rectangle_baselines(source, target, k, keys))
+    ends = [rectangle_rank(source, target, f, "margin", keys, base, name=name) for f, name in ((0.02, "lo"), (0.98, "hi"))]
+    scale = cut(ends[0].join(ends[1], keys))
+    pairs = _tile_pairs(_with_baseline(source, base, "a", keys), _with_baseline(target, base, "b", keys), keys).join(scale, keys)
+    cols = pairs.columns
+    schema = T.StructType([*[pairs.schema[c] for c in keys], *[T.StructField(c, t) for c, t in (("i", T.LongType()), ("j", T.LongType()), ("raw", T.DoubleType()), ("margin", T.DoubleType()), ("score", T.DoubleType()))]])
+
+    def run(parts):
+        for part in parts:
+            for r in part.itertuples(index=False):
+                a, b, lo, hi = (r[cols.index(c)] for c in ("_a", "_b", "lo", "hi"))
+                left, right = np.array([list(x["v"]) for x in a]), np.array([list(x["v"]) for x in b])
+                raw = np.round(np.clip(left[:, :-1] @ right[:, :-1].T, -1.0, 1.0), 6)
+                margin = np.round(raw - (left[:, -1:] + right[:, -1:].T) / 2, 9)
+                score = np.full_like(margin, 0.5) if hi <= lo + 1e-9 else np.round(np.clip((margin - lo) / (hi - lo), 0.0, 1.0), 6)
+                x, y = np.nonzero(score >= least)
+                i, j = np.array([m["i"] for m in a], dtype="int64"), np.array([m["i"] for m in b], dtype="int64")
+                yield pd.DataFrame({**{c: [r[cols.index(c)]] * len(x) for c in keys}, "i": i[x], "j": j[y], "raw": raw[x, y], "margin": margin[x, y], "score": score[x, y]}, columns=schema.fieldNames())
+
+    return pairs.mapInPandas(run, schema)
+
+
 #: recall questions are configuration; longer lists are split by the caller
 MAX_QUERIES = 256
 
@@ -313,27 +347,3 @@ def semantic_recall(claims: DataFrame, queries: Sequence[tuple[str, Sequence[flo
 
 def best_query(scores: DataFrame) -> DataFrame:
     return scores.groupBy("row_id").agg(F.max_by(F.struct("query", "score"), F.struct("score", F.col("query"))).alias("_b")).select("row_id", "_b.*")
-
-
-def similar_pairs(rows: DataFrame, threshold: float, idx: str = "idx", vector: str = "vector") -> DataFrame:
-    """(left, right, similarity) of rows with cosine at or above ``threshold``, left before right.
-
-    Tiles of vectors are multiplied with each other and only pairs above the threshold leave a task.
-    """
-    one = rows.select(F.lit(1).alias("_one"), F.col(idx).alias("idx"), F.col(vector).alias("vector"))
-    pairs = _tile_pairs(one, one, ["_one"]).where("_ta <= _tb")
-    cols = pairs.columns
-    schema = "left long, right long, similarity double"
-
-    def run(parts):
-        for part in parts:
-            out = []
-            for r in part.itertuples(index=False):
-                a, b = list(r[cols.index("_a")]), list(r[cols.index("_b")])
-                m = _matrix(a, b)
-                for x, y in zip(*np.nonzero(m >= threshold)):
-                    if a[x]["i"] < b[y]["i"]:
-                        out.append([int(a[x]["i"]), int(b[y]["i"]), float(m[x, y])])
-            yield pd.DataFrame(out, columns=["left", "right", "similarity"])
-
-    return pairs.mapInPandas(run, schema)

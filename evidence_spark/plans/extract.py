@@ -202,9 +202,7 @@ def _(spark, sf):
 
 @query("g15_nearest_rank", " UNION ALL ".join(f"SELECT {p} AS fraction, l_extendedprice AS value FROM (SELECT l_extendedprice, row_number() OVER (ORDER BY l_extendedprice) AS rn, count(*) OVER () AS n FROM lineitem) WHERE rn = round_even((n - 1) * {p}, 0) + 1" for p in (0.02, 0.2, 0.5, 0.98)).replace("SELECT 0.", "SELECT 0.").replace(" AS fraction", "::DOUBLE AS fraction"))
 def _(spark, sf):
-    li = table(spark, sf, "lineitem")
-    got = [(p, G.nearest_rank(li, "l_extendedprice", p, small=20_000)) for p in (0.02, 0.2, 0.5, 0.98)]
-    return spark.createDataFrame(got, "fraction double, value double")
+    return G.nearest_ranks(table(spark, sf, "lineitem"), "l_extendedprice", (0.02, 0.2, 0.5, 0.98))
 
 
 @query("g15_nearest_rank_per_key", """SELECT l_suppkey, l_extendedprice AS value FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice) AS rn, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem) WHERE rn = round_even((n - 1) * 0.2, 0) + 1""")

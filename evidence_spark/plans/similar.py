@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from evidence_spark.functions import text as X
 from evidence_spark.operators import dedup as U
 from evidence_spark.operators import matching as M
+from evidence_spark.operators import tiles as L
 from evidence_spark.operators import vectors as V
-from evidence_spark.operators.intervals import range_pairs
 from evidence_spark.operators.scan import scan
 from evidence_spark.plans import duck as D
 from evidence_spark.plans.expressions import PAIRS_SQL, _grams_sql, turn_pairs
@@ -82,29 +82,35 @@ def vectors(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", "label", V.unit(F.col("embedding")).alias("vector"))
 
 
-def band_scores(spark, sf, reach=10):
-    """Cosine of vectors of low and high labels that are neighbours by id."""
-    v = vectors(spark, sf).withColumn("k", F.lit(1))
-    a = v.where("label < 5").select("k", F.col("vec_id").alias("left"), F.col("vector").alias("_a"))
-    b = v.where("label >= 5").select("k", F.col("vec_id").alias("right"), F.col("vector").alias("_b"))
-    p = range_pairs(a, b, ["k"], F.col("left") - reach, F.col("left") + reach, F.col("right"), F.col("right"), reach * 2)
-    return p.select("left", "right", F.round(V.cosine(F.col("_a"), F.col("_b")), 6).alias("score"))
+def halves(spark, sf):
+    """Vectors of low and of high labels."""
+    v = vectors(spark, sf).withColumnRenamed("vec_id", "idx")
+    return v.where("label < 5"), v.where("label >= 5")
 
 
 _UNIT = "list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE))))"
-_BAND = f"""u AS (SELECT vec_id, label, {_UNIT} AS v FROM embeddings), band AS (SELECT a.vec_id AS "left", b.vec_id AS "right", round(greatest(-1, least(1, list_dot_product(a.v, b.v))), 6) AS score FROM u a JOIN u b ON b.vec_id BETWEEN a.vec_id - 10 AND a.vec_id + 10 WHERE a.label < 5 AND b.label >= 5)"""
+_COSINES = f"""u AS (SELECT vec_id, label, {_UNIT} AS v FROM embeddings), rect AS (SELECT a.vec_id AS "left", b.vec_id AS "right", round(greatest(-1, least(1, list_dot_product(a.v, b.v))), 6) AS score FROM u a, u b WHERE a.label < 5 AND b.label >= 5)"""
 
 
-@query("v3_cosine", f'WITH {_BAND} SELECT "left", "right", score FROM band')
+@query("v3_cosine", f'WITH {_COSINES} SELECT "left", "right", score FROM rect WHERE score >= 0.2')
 def _(spark, sf):
-    return band_scores(spark, sf)
+    """All pairs of the rectangle with some likeness."""
+    return L.similar_between(*halves(spark, sf), 0.2)
 
 
-@query("j12_greedy_match")
+# the walk over the left rows in order: each takes its best right that is still free
+@query("j12_greedy_match", f"""WITH RECURSIVE {_COSINES}, n AS (SELECT DISTINCT "left", dense_rank() OVER (ORDER BY "left") AS n FROM rect), s AS (SELECT n, "right", score FROM rect JOIN n USING ("left")),
+walk AS (SELECT 0::BIGINT AS n, NULL::BIGINT AS "right", 0.0::DOUBLE AS score, []::BIGINT[] AS taken UNION ALL
+ SELECT n, "right", score, CASE WHEN score >= 0.1 THEN list_append(taken, "right") ELSE taken END FROM (SELECT w.n + 1 AS n, arg_max(s."right", (s.score, -s."right")) AS "right", max(s.score) AS score, any_value(w.taken) AS taken
+ FROM walk w JOIN s ON s.n = w.n + 1 AND NOT list_contains(w.taken, s."right") GROUP BY w.n))
+SELECT "left", CASE WHEN walk.score >= 0.1 THEN walk."right" END AS "right", coalesce(walk.score, 0.0) AS score FROM n LEFT JOIN walk USING (n)""")
 def _(spark, sf):
-    p = cut(band_scores(spark, sf))
-    m = M.greedy_match(p, 0.1)
-    return M.match_report(p.select("left").distinct(), p, m)
+    return M.match_vectors(*halves(spark, sf), 0.1)
+
+
+@query("k2_similar_pairs", f"""WITH u AS (SELECT vec_id, {_UNIT} AS v FROM embeddings) SELECT * FROM (SELECT a.vec_id AS "left", b.vec_id AS "right", round(greatest(-1, least(1, list_dot_product(a.v, b.v))), 6) AS similarity FROM u a JOIN u b ON a.vec_id < b.vec_id) WHERE similarity >= 0.25""")
+def _(spark, sf):
+    return L.similar_pairs(vectors(spark, sf), 0.25, idx="vec_id")
 
 
 def prototypes(spark, sf):
@@ -217,22 +223,16 @@ def _(spark, sf):
     return p.select("media_id", "start", F.col("count").cast("long").alias("count"), F.round(F.element_at("vector", 1), 5).alias("v1"), F.round(F.element_at("vector", 64), 5).alias("v64"))
 
 
-def margin_pairs(spark, sf):
-    v = lines(spark, sf)
-    a = v.select("media_id", F.col("idx").alias("i"), F.col("vector").alias("_a"))
-    b = v.select("media_id", F.col("idx").alias("j"), F.col("vector").alias("_b"))
-    p = range_pairs(a, b, ["media_id"], F.col("i") - 8, F.col("i") + 8, F.col("j"), F.col("j"), 16).where("i <> j")
-    return p.select("media_id", "i", "j", V.cosine(F.col("_a"), F.col("_b")).alias("raw"))
-
-
 @query("v5_margin_scores", f"""WITH u AS (SELECT label AS media_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS idx, {_UNIT} AS v FROM embeddings),
-p AS (SELECT a.media_id, a.idx AS i, b.idx AS j, round(greatest(-1, least(1, list_dot_product(a.v, b.v))), 6) AS raw FROM u a JOIN u b ON a.media_id = b.media_id AND b.idx BETWEEN a.idx - 8 AND a.idx + 8 AND a.idx <> b.idx),
+p AS (SELECT a.media_id, a.idx AS i, b.idx AS j, round(greatest(-1, least(1, list_dot_product(a.v, b.v))), 6) AS raw FROM u a JOIN u b ON a.media_id = b.media_id WHERE a.idx % 2 = 0 AND b.idx % 2 = 1),
 ri AS (SELECT media_id, i, avg(raw) AS bi FROM (SELECT *, row_number() OVER (PARTITION BY media_id, i ORDER BY raw DESC) AS r FROM p) WHERE r <= 4 GROUP BY 1, 2), rj AS (SELECT media_id, j, avg(raw) AS bj FROM (SELECT *, row_number() OVER (PARTITION BY media_id, j ORDER BY raw DESC) AS r FROM p) WHERE r <= 4 GROUP BY 1, 2),
 m AS (SELECT p.*, round(raw - (bi + bj) / 2, 9) AS margin FROM p JOIN ri USING (media_id, i) JOIN rj USING (media_id, j)), n AS (SELECT *, row_number() OVER (PARTITION BY media_id ORDER BY margin) - 1 AS rk, count(*) OVER (PARTITION BY media_id) AS c FROM m),
 lo AS (SELECT media_id, margin AS lo FROM n WHERE rk = round_even((c - 1) * 0.02, 0)), hi AS (SELECT media_id, margin AS hi FROM n WHERE rk = round_even((c - 1) * 0.98, 0))
-SELECT media_id, i, j, round(margin, 4) AS margin, round(CASE WHEN hi <= lo + 1e-9 THEN 0.5 ELSE least(1, greatest(0, (margin - lo) / (hi - lo))) END, 4) AS score FROM m JOIN lo USING (media_id) JOIN hi USING (media_id)""")
+SELECT media_id, i, j, round(margin, 4) AS margin, round(score, 4) AS score FROM (SELECT media_id, i, j, margin, round(CASE WHEN hi <= lo + 1e-9 THEN 0.5 ELSE least(1, greatest(0, (margin - lo) / (hi - lo))) END, 6) AS score FROM m JOIN lo USING (media_id) JOIN hi USING (media_id)) WHERE score >= 0.7""")
 def _(spark, sf):
-    m = V.margin_scores(margin_pairs(spark, sf))
+    """The stronger cells of each recording's rectangle; baselines and ranks are those of all its cells."""
+    v = lines(spark, sf).select("media_id", "idx", "vector")
+    m = V.rectangle_margins(v.where("idx % 2 = 0"), v.where("idx % 2 = 1"), 0.7)
     return m.select("media_id", "i", "j", F.round("margin", 4).alias("margin"), F.round("score", 4).alias("score"))
 
 
