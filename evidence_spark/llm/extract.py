@@ -4,24 +4,28 @@
    scored: the text it holds outside links, less a tenth per level between. The best one's generalised path (tags and classes, numbers
    replaced) is the page's vote.
 2. Votes are counted per host in Spark; each host has one winning path.
-3. Each page is read again and its text taken from the containers at its host's winning path. A page without text there uses its own best.
+3. Each page is read again and its text taken from the containers at its host's winning path. A page without text there uses its own best. So does
+   a page of another template: its own best path lies beside the winning one, holds more unlinked text, and another page of the host voted for it too.
+
+Reading is linear in the page: containers are linked nodes, open elements are found by tag, and a tag that never ends takes the rest of the page.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidence_spark.llm.urls import host_of
 from evidence_spark.session import cut, small
 
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|select)\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*+>?"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)>|</?[a-zA-Z].*\Z", re.S | re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
              "p pre search section summary table tbody td tfoot th thead tr ul head".split())
@@ -45,20 +49,53 @@ SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td":
 DECAY, ARTICLE = 0.9, 1.5
 
 
+@dataclass(slots=True, eq=False)
+class Node:
+    """A container: its generalised path is its parent's, a slash and its name."""
+    parent: Node | None
+    name: str
+    length: int  # of the path
+    check: int
+    level: int
+
+    @classmethod
+    def under(cls, parent: Node | None, name: str) -> Node:
+        step = ("/" + name).encode("utf-8", "surrogatepass")
+        if parent is None:
+            return cls(None, name, len(name) + 1, zlib.crc32(step), 0)
+        return cls(parent, name, parent.length + len(name) + 1, zlib.crc32(step, parent.check), parent.level + 1)
+
+    def path(self) -> str:
+        names, node = [], self
+        while node is not None:
+            names.append(node.name)
+            node = node.parent
+        return "/" + "/".join(reversed(names))
+
+
 @dataclass
 class Block:
     text: str
-    paths: tuple[str, ...]
+    node: Node | None  # the innermost container
     linked: int
 
+    @property
+    def unlinked(self) -> int:
+        return len(self.text) - self.linked
 
-@dataclass
+
+@dataclass(slots=True)
 class Element:
     tag: str
-    path: str | None = None  # of a container
+    node: Node | None = None
     dropped: bool = False
     never: bool = False  # dropped whatever it holds
-    marks: tuple[int, ...] = ()  # of the forms and class-marked elements around its text
+    mark: int = -1  # the innermost form or class-marked element around its text
+    linked: bool = False
+    inside: bool = False  # an article or main element, or in one
+
+
+OUTSIDE = Element("")
 
 
 @dataclass
@@ -67,39 +104,55 @@ class Reader:
     kept: frozenset[int] = frozenset()  # marks that are not believed
     total: int = 0  # unlinked text, dropped by marks or not
     shares: list[float] = field(default_factory=list)  # of each mark: the share that it must exceed
-    held: list[int] = field(default_factory=list)  # of each mark: its unlinked text
+    around: list[int] = field(default_factory=list)  # of each mark: the mark around it
+    held: list[int] = field(default_factory=list)  # of each mark: its unlinked text, after ``finish`` with that of the marks in it
     articles: int = 0  # unlinked text in article and main elements
-    beside: list[int | None] = field(default_factory=list)  # of each mark: how much of that it holds, none for a mark inside such an element
+    beside: list[int] = field(default_factory=list)  # of each mark: how much of that it holds
+    within: list[bool] = field(default_factory=list)  # of each mark: whether it is in such an element
     stack: list[Element] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)  # of each tag: where it is on the stack
+    containers: list[int] = field(default_factory=list)  # where containers are on the stack
+    walls: list[int] = field(default_factory=list)  # where block elements are on the stack
     blocks: list[Block] = field(default_factory=list)
     buffer: list[str] = field(default_factory=list)
     linked: int = 0
 
+    @property
+    def top(self) -> Element:
+        return self.stack[-1] if self.stack else OUTSIDE
+
     def flush(self) -> None:
         if self.buffer:
             text = " ".join(entities.unescape("".join(self.buffer)).split())
             if text:
-                self.blocks.append(Block(text, tuple(e.path for e in self.stack if e.path is not None), min(self.linked, len(text))))
+                self.blocks.append(Block(text, self.top.node, min(self.linked, len(text))))
             self.buffer.clear()
         self.linked = 0
 
+    def finish(self) -> None:
+        """Text of inner marks counts for the marks around them; these are older."""
+        self.flush()
+        for k in range(len(self.held) - 1, -1, -1):
+            if (outer := self.around[k]) >= 0:
+                self.held[outer] += self.held[k]
+                self.beside[outer] += self.beside[k]
+
     def data(self, text: str) -> None:
-        if not text or self.stack and self.stack[-1].never:
+        top = self.top
+        if not text or top.never:
             return
-        linked = any(e.tag == "a" for e in self.stack)
-        if not linked:
-            n = len(text.strip())
+        n = len(text.strip())
+        if not top.linked:
             self.total += n
-            article = n if self.inside("") else 0
+            article = n if top.inside else 0
             self.articles += article
-            for k in self.stack[-1].marks if self.stack else ():
-                self.held[k] += n
-                if self.beside[k] is not None:
-                    self.beside[k] += article
-        if not (self.stack and self.stack[-1].dropped):
+            if top.mark >= 0:
+                self.held[top.mark] += n
+                self.beside[top.mark] += article
+        if not top.dropped:
             self.buffer.append(text)
-            if linked:
-                self.linked += len(text.strip())
+            if top.linked:
+                self.linked += n
 
     def never(self, tag: str, attrs: dict[str, str]) -> bool:
         if tag in DROPPED or "hidden" in attrs or re.search(r"display\s*:\s*none", attrs.get("style", "")):
@@ -107,7 +160,7 @@ class Reader:
         return tag == "header" and not self.inside(tag)
 
     def inside(self, tag: str) -> bool:
-        return tag in ("article", "main") or any(e.tag in ("article", "main") for e in self.stack)
+        return tag in ("article", "main") or self.top.inside
 
     def marked(self, tag: str, attrs: dict[str, str]) -> float | None:
         """The share of the page that a form or class-marked element must exceed to stay; none for other elements."""
@@ -124,8 +177,7 @@ class Reader:
 
     def share(self, mark: int) -> float:
         """The share of the page that a mark's element must exceed to stay, now that the page is read."""
-        beside = self.beside[mark]
-        return ALMOST_ALL if beside is not None and self.articles > beside else self.shares[mark]
+        return ALMOST_ALL if not self.within[mark] and self.articles > self.beside[mark] else self.shares[mark]
 
     def open(self, tag: str, raw: str) -> None:
         if tag in BLOCKS:
@@ -133,44 +185,59 @@ class Reader:
             self.pop({"p"}, {"td", "th", "button", "table"})
         if tag in CLOSES:
             self.pop(CLOSES[tag], SCOPE.get(tag, set()))
+        above = self.top
         if tag in VOID:
-            if tag == "br" and not (self.stack and self.stack[-1].dropped):
+            if tag == "br" and not above.dropped:
                 self.buffer.append(" ")
             return
         attrs = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(raw)} if raw else {}
-        above = self.stack[-1] if self.stack else Element("")
         never = above.never or self.never(tag, attrs)
-        dropped, marks = above.dropped or never, above.marks
+        new = Element(tag, above.node, above.dropped or never, never, above.mark, above.linked or tag == "a", self.inside(tag))
         if not never and (share := self.marked(tag, attrs)) is not None:
-            marks = (*marks, len(self.held))
-            dropped = dropped or len(self.held) not in self.kept
+            new.mark = len(self.held)
+            new.dropped = new.dropped or new.mark not in self.kept
             self.shares.append(share)
+            self.around.append(above.mark)
             self.held.append(0)
-            self.beside.append(None if self.inside("") else 0)
-        path = None
-        if tag in CONTAINERS and not dropped:
-            above = next((e.path for e in reversed(self.stack) if e.path is not None), "")
+            self.beside.append(0)
+            self.within.append(above.inside)
+        at = len(self.stack)
+        if tag in CONTAINERS and not new.dropped:
             classes = sorted(re.sub(r"\d+", "#", c) for c in attrs.get("class", "").split())
-            path = f"{above}/{'.'.join([tag, *classes])}"
-        self.stack.append(Element(tag, path, dropped, never, marks))
+            new.node = Node.under(above.node, ".".join([tag, *classes]))
+            self.containers.append(at)
+        if tag in BLOCKS:
+            self.walls.append(at)
+        self.places.setdefault(tag, []).append(at)
+        self.stack.append(new)
+
+    def last(self, tag: str) -> int:
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def cut(self, at: int) -> None:
+        """Everything from place ``at`` on is closed."""
+        for k in range(len(self.stack) - 1, at - 1, -1):
+            self.places[self.stack.pop().tag].pop()
+        for where in (self.containers, self.walls):
+            while where and where[-1] >= at:
+                where.pop()
 
     def pop(self, tags: set[str], stop: set[str]) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k].tag in tags:
-                del self.stack[k:]
-                return
-            if self.stack[k].tag in stop or self.stack[k].path is not None and "p" in tags:
-                return
+        at = max(self.last(t) for t in tags)
+        wall = max((self.last(t) for t in stop), default=-1)
+        if "p" in tags and self.containers:
+            wall = max(wall, self.containers[-1])
+        if at >= 0 and at >= wall:
+            self.cut(at)
 
     def close(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k].tag == tag:
-                del self.stack[k:]
-                return
-            if tag not in BLOCKS and self.stack[k].tag in BLOCKS:
-                return  # a stray inline end tag never closes a block
+        at = self.last(tag)
+        # a stray inline end tag never closes a block
+        if at >= 0 and (tag in BLOCKS or not self.walls or at > self.walls[-1]):
+            self.cut(at)
 
 
 def read_page(page: str, by_class: bool = True, kept: frozenset[int] = frozenset()) -> Reader:
@@ -184,15 +251,13 @@ def read_page(page: str, by_class: bool = True, kept: frozenset[int] = frozenset
                 reader.close(tag)
             else:
                 reader.open(tag, m["attrs"])
-    tail = page[at:]
-    cut_off = re.search(r"<[a-zA-Z/][^>]*\Z", tail)
-    reader.data(tail[: cut_off.start()] if cut_off else tail)
-    reader.flush()
+    reader.data(page[at:])
+    reader.finish()
     return reader
 
 
 def read_blocks(page: str, by_class: bool = True) -> list[Block]:
-    """The text blocks of a page outside boilerplate elements, in order, each with the paths of the containers around it. Pages are read
+    """The text blocks of a page outside boilerplate elements, in order, each with the container around it. Pages are read
     again if a form or class-marked element turns out to hold most of their unlinked text; that element then stays."""
     reader = read_page(page, by_class)
     kept = frozenset(k for k, n in enumerate(reader.held) if n > reader.share(k) * reader.total)
@@ -204,33 +269,79 @@ def page_blocks(page: str) -> list[Block]:
     return read_blocks(page) or read_blocks(page, by_class=False)
 
 
+def outwards(blocks: list[Block]) -> list[Node]:
+    """The containers around the blocks, each once, inner ones before those around them."""
+    seen: dict[int, Node] = {}
+    for b in blocks:
+        node = b.node
+        while node is not None and id(node) not in seen:
+            seen[id(node)] = node
+            node = node.parent
+    return sorted(seen.values(), key=lambda n: -n.level)
+
+
 def best_container(blocks: list[Block]) -> tuple[str, float] | None:
     """Path and score of the best container: text outside links counts fully for the innermost container, a tenth less for each one further
-    out; articles and main elements count half more. Ties go to the outer container."""
-    scores: dict[str, float] = {}
+    out; articles and main elements count half more. Ties go to the outer container. Text in no container counts for the empty path."""
+    nodes = outwards(blocks)
+    own: dict[int, float] = {}
     for b in blocks:
-        weight = float(len(b.text) - b.linked)
-        for path in reversed(b.paths or ("",)):
-            scores[path] = scores.get(path, 0.0) + weight
-            weight *= DECAY
+        own[id(b.node)] = own.get(id(b.node), 0.0) + b.unlinked
+    scores: dict[tuple[int, int], list] = {}  # of each path: its score and one of its containers
+    if id(None) in own:
+        scores[0, 0] = [own[id(None)], None]
+    for node in nodes:
+        score = own.get(id(node), 0.0)
+        if node.parent is not None:
+            own[id(node.parent)] = own.get(id(node.parent), 0.0) + score * DECAY
+        scores.setdefault((node.length, node.check), [0.0, node])[0] += score
     if not scores:
         return None
-    for path in scores:
-        if path.rpartition("/")[2].partition(".")[0] in ("article", "main"):
-            scores[path] *= ARTICLE
-    return max(scores.items(), key=lambda x: (x[1], -len(x[0]), x[0]))
+    for found in scores.values():
+        if found[1] is not None and found[1].name.partition(".")[0] in ("article", "main"):
+            found[0] *= ARTICLE
+    most = max((f[0], -length) for (length, _), f in scores.items())
+    return max(node.path() if node else "" for (length, _), (score, node) in scores.items() if (score, -length) == most), most[0]
+
+
+def blocks_at(blocks: list[Block], path: str) -> list[Block]:
+    """The blocks inside containers at ``path``; for the empty path those in no container."""
+    length, check = len(path), zlib.crc32(path.encode("utf-8", "surrogatepass"))
+    within: dict[int, bool] = {id(None): False}
+    for node in reversed(outwards(blocks)):
+        within[id(node)] = within[id(node.parent)] or (node.length == length and node.check == check and node.path() == path)
+    return [b for b in blocks if within[id(b.node)] or not path and b.node is None]
+
+
+def text_of(blocks: list[Block]) -> str:
+    return "\n".join(b.text for b in blocks)
 
 
 def text_at(blocks: list[Block], path: str | None) -> str:
     """The blocks inside containers at ``path``, or, where there are none, inside the page's own best container."""
-    found = [b.text for b in blocks if path is not None and path in b.paths]
+    found = blocks_at(blocks, path) if path is not None else []
     if not found and (best := best_container(blocks)):
-        found = [b.text for b in blocks if best[0] in (b.paths or ("",))]
-    return "\n".join(found)
+        found = blocks_at(blocks, best[0])
+    return text_of(found)
+
+
+def texts_at(blocks: list[Block], path: str | None) -> tuple[str, str | None, str | None]:
+    """As ``text_at``, and, if the page's own best container lies beside ``path`` and holds more unlinked text, its path and text."""
+    best = best_container(blocks)
+    found = blocks_at(blocks, path) if path is not None else []
+    if best is None or not found:
+        return text_of(blocks_at(blocks, best[0])) if best else "", None, None
+    own = best[0]
+    if own.startswith(path) and own[len(path):len(path) + 1] in ("", "/") or path.startswith(own) and path[len(own):len(own) + 1] == "/":
+        return text_of(found), None, None
+    other = blocks_at(blocks, own)
+    if sum(b.unlinked for b in other) > sum(b.unlinked for b in found):
+        return text_of(found), own, text_of(other)
+    return text_of(found), None, None
 
 
 def vote_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path that most pages of a host vote for; ties go to the larger summed score, then to the smaller path."""
+    """(host, path, votes, score): the paths that the pages of a host vote for."""
     def run(frames):
         import pyarrow as pa
 
@@ -240,27 +351,39 @@ def vote_paths(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([frame.column("host").take(pa.array(kept, pa.int64())), pa.array([best[k][0] for k in kept], pa.string()), pa.array([best[k][1] for k in kept], pa.float64())], ["host", "path", "score"])
 
     votes = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, path string, score double")
-    counted = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
-    order = Window.partitionBy("host").orderBy(F.col("votes").desc(), F.round("score").desc(), "path")
-    return counted.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("host", "path", "votes")
+    return votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
+
+
+def winning_paths(votes: DataFrame) -> DataFrame:
+    """(host, path): the path with most votes of each host; ties go to the larger summed score, then to the smaller path."""
+    most = votes.groupBy("host").agg(F.max(F.struct("votes", F.round("score").alias("score"))).alias("_most"))
+    tied = votes.join(small(most), "host").where((F.col("votes") == F.col("_most.votes")) & (F.round("score") == F.col("_most.score")))
+    return tied.groupBy("host").agg(F.min("path").alias("path"))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
     Null and empty html give an empty text. Pages without a host vote and are read together under the empty host. Repeated rows are
-    extracted each; other columns are not read; an empty table gives no rows. Winning paths are broadcast while few, else joined by shuffle.
+    extracted each; other columns are not read; an empty table gives no rows. Paths are broadcast while few, else joined by shuffle.
     """
-    won = cut(vote_paths(pages).select(F.col("host").alias("_won"), F.col("path").alias("_path")))
+    votes = cut(vote_paths(pages))
+    won = cut(winning_paths(votes).select(F.col("host").alias("_won"), F.col("path").alias("_path")))
+    shared = votes.where("votes > 1").select(F.col("host").alias("_of"), F.col("path").alias("_shared"))
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("_host"))
-    joined = rows.join(small(won), F.col("_host") == F.col("_won"), "left").select("page_id", "url", "html", "_path")
+    joined = rows.join(small(won), F.col("_host") == F.col("_won"), "left").select("page_id", "url", "html", "_host", "_path")
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(frames):
         import pyarrow as pa
 
         for frame in frames:
-            texts = [text_at(page_blocks(h.as_py() or ""), p) for h, p in zip(frame.column("html"), frame.column("_path").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([frame.column("page_id"), frame.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+            texts = [texts_at(page_blocks(h.as_py() or ""), p) for h, p in zip(frame.column("html"), frame.column("_path").to_pylist(), strict=True)]
+            columns = [pa.array([t[k] for t in texts], pa.string()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([frame.column("page_id"), frame.column("url"), frame.column("_host"), *columns], ["page_id", "url", "_host", "_text", "_own", "_other"])
+
+    read = joined.mapInArrow(run, f"page_id {kind}, url string, _host string, _text string, _own string, _other string")
+    # another template of the host: its path has the votes of at least two pages
+    agreed = read.join(small(shared), (F.col("_host") == F.col("_of")) & (F.col("_own") == F.col("_shared")), "left")
+    text = F.when(F.col("_shared").isNotNull(), F.col("_other")).otherwise(F.col("_text"))
+    return agreed.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
