@@ -1,5 +1,8 @@
 import json
+import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from evidence_spark.operators import sequence as S
@@ -76,3 +79,54 @@ def test_topic_sessions_stream(spark, tmp_path):
     stream = feeds.topic_session_feed(spark.readStream.schema(batch.schema).parquet(src), topics=pack)
     drain(stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", check).trigger(availableNow=True))
     assert sorted(r.n_rows for r in spark.read.parquet(out).where("media_id = 1").collect()) == [1, 2]
+
+
+def test_replayed_batches_add_nothing(spark, tmp_path):
+    at = "2024-01-01T00:00:0%dZ"
+    src, table, check = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "check")
+    write(src, "1.json", [{"source_id": "a", "text": "x", "at": at % 1}, {"source_id": "b", "text": "x", "at": at % 3}])
+    schema = spark.read.json(str(src)).withColumn("at", F.to_timestamp("at")).schema
+    feed = lambda: feeds.read_feed(spark, str(src), schema).withColumn("content_hash", F.sha2("text", 256))
+    rows = lambda: sorted((r.source_id, r.text) for r in feeds.read_ingested(spark, table).collect())
+    drain(feeds.ingest_sink(feed(), table, check))
+    write(src, "2.json", [{"source_id": "a", "text": t, "at": at % 4} for t in "xyz"])
+
+    def killed(_df):
+        raise RuntimeError("killed")
+
+    with pytest.raises(StreamingQueryException):
+        drain(feeds.ingest_sink(feed(), table, check, killed))
+    assert rows() == [("a", "x"), ("b", "x")]
+    drain(feeds.ingest_sink(feed(), table, check))
+    want = [("a", "x"), ("a", "y"), ("a", "z"), ("b", "x")]
+    assert rows() == want
+    # the same batch again, as after a loss before the stream's own checkpoint, and one that had written rows and keys only
+    batch = spark.read.schema(schema).json(str(src / "2.json")).withColumn("content_hash", F.sha2("text", 256))
+    feeds.write_batch(batch, 1, table)
+    assert rows() == want
+    feeds.write_batch(batch, 2, table)
+    assert rows() == want
+    spark.createDataFrame([("c", "lost")], "source_id string, text string").write.parquet(f"{table}/batch_id=3")
+    assert rows() == want
+
+
+@pytest.mark.parametrize("cuts", [[20], [3, 9], [1, 2, 4, 6, 8, 10]])
+def test_captions_by_event_time_equal_the_batch_for_all_cuts(spark, tmp_path, cuts):
+    words = "alpha beta gamma delta epsilon zeta theta kappa lambda sigma omega".split()
+    texts = [" ".join(words[max(0, i - 2):i + 2]) for i in range(9)] + [" ".join(words), " ".join(words) + " and more", None]
+    rows = [(m, i, t, f"2024-01-01 00:{10 + i // 2}:00") for m in (1, 2) for i, t in enumerate(texts)]
+    order = sorted(rows, key=lambda r: (r[1] ^ 1, r[0]))  # neighbours swapped: they come out of order
+    batch = spark.createDataFrame([(m, i, t, "x", float(i), i + 1.0) for m, i, t, _ in rows if t], "media_id long, seq long, text string, speaker string, start_s double, end_s double")
+    want = sorted((r.media_id, r.seq, r.novel) for r in S.dedup_rolling(batch).collect())
+    src, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    parts = [order[a:b] for a, b in zip([0, *(2 * c for c in cuts)], [*(2 * c for c in cuts), len(order)])]
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for k, part in enumerate([p for p in parts if p] + [[(9, 0, "end", "2024-01-01 01:00:00")]]):
+            write(src, f"{k:02d}.json", [dict(zip(("media_id", "seq", "text", "at"), r)) for r in part])
+            os.utime(src / f"{k:02d}.json", (1_700_000_000 + k, 1_700_000_000 + k))  # files are read by age
+        feed = spark.readStream.schema("media_id long, seq long, text string, at timestamp").option("maxFilesPerTrigger", 1).json(str(src))
+        drain(feeds.live_captions(feed, delay="2 minutes").writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True))
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert sorted((r.media_id, r.seq, r.novel) for r in spark.read.parquet(out).where("media_id < 9").collect()) == want
