@@ -78,3 +78,23 @@ def test_words_are_hashed_before_the_shuffle(spark):
     got = {r["k"]: r["vector"] for r in vectors.collect()}
     plain = {r["k"]: r["vector"] for r in V.hash_embed(spark.createDataFrame([(1, "fast buy fast fast")], "k long, text string"), ["k"]).collect()}
     assert got[1] == plain[1] and not any(got[None]) and not any(got[2])
+
+
+def test_blocks_meet_by_cells_with_each_vector_once(spark):
+    rng = random.Random(9)
+    vector = lambda: [float(rng.randint(-2, 3)) for _ in range(4)]
+    a = [(1, i, 50.0 * i, 50.0 * i + rng.choice([20, 40]), vector()) for i in range(5)]
+    b = [(1, j, 9.0 * j, 9.0 * j + rng.choice([5, 70]), vector()) for j in range(30)]
+    got = A.block_scores(spark.createDataFrame(a, "media_id long, idx long, start_s double, end_s double, vector array<double>"),
+                         spark.createDataFrame(b, "media_id long, idx long, unit_start_s double, unit_end_s double, vector array<double>"))
+    assert not [c for c in exchanged(got) if c & {"iv", "jv"}]
+    unit = lambda vs: (lambda v, n: [x / (n or 1.0) for x in v])([sum(c) for c in zip(*vs)], sum(sum(c) ** 2 for c in zip(*vs)) ** 0.5)
+    want = {}
+    for i in range(5):
+        for s in range(1, min(3, 5 - i) + 1):
+            for j in range(30):
+                for t in range(1, min(6, 30 - j) + 1):
+                    if s + t <= 7 and a[i][2] - 30 <= b[j][2] <= a[i + s - 1][3] + 30 and b[j + t - 1][3] <= a[i + s - 1][3] + 30:
+                        want[i, s, j, t] = sum(x * y for x, y in zip(unit([r[4] for r in a[i: i + s]]), unit([r[4] for r in b[j: j + t]])))
+    rows = got.collect()
+    assert len(rows) == len(want) > 100 and all(abs(want[r["i"], r["s"], r["j"], r["t"]] - r["raw"]) < 1e-6 for r in rows)
