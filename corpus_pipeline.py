@@ -30,7 +30,10 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingle similarity 0.8 or more): that with the smallest id."""
+    """One document of each group of near-duplicates (five-word shingle similarity 0.8 or more): that with the smallest id.
+
+    SimHash links are the first candidates, a lossless prefix filter finds the pairs they miss; all are verified.
+    """
     bounded_batches(spark)
     return shingles.keep_one(docs)
 

@@ -1,12 +1,16 @@
 """Near-duplicates by the similarity of word shingle sets: every pair at or above 4/5 is found and verified.
 
 1. A text is the set of hashes of its five-word shingles. Texts of the same words are one node.
-2. Under any total order of the shingles, two sets with similarity 4/5 or more have a common shingle among the first n - ceil(4n/5) + 1
+2. Texts whose SimHash fingerprints are equal or linked (:mod:`simhash`) are the first candidates: their verified links make most groups at
+   once. They miss pairs, the following steps do not.
+3. Under any total order of the shingles, two sets with similarity 4/5 or more have a common shingle among the first n - ceil(4n/5) + 1
    of each. The order goes from shingles that a sample of texts never repeats to its most common ones, so few texts meet by chance. The
    sample decides only how much work there is, never which pairs are found.
-3. Texts with a common first shingle are candidates if their sizes and the place of the shingle still allow the similarity. Shared by many
-   texts, a shingle first compares a few of them with the rest, and what is then in one component is not compared again.
-4. Candidates are verified by their whole sets; groups are the connected components of the verified links.
+4. Texts with a common first shingle are candidates if their sizes, the place of the shingle and the parities of their sets still allow the
+   similarity. Shared by many texts, a shingle first compares a few of them with the rest, and what is then in one component is not compared
+   again. Parities: shingles fall into cells, and a cell in which one set has an odd and the other an even number of shingles holds a shingle
+   that only one of them has.
+5. Candidates are verified by their whole sets; groups are the connected components of the verified links.
 """
 
 from __future__ import annotations
@@ -16,15 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidence_spark.llm.simhash import components
+from evidence_spark.llm.simhash import components, fingerprint, linked
 from evidence_spark.session import cut, small
 
 #: Words of a shingle.
 WORDS = 5
 #: Texts whose shingles are counted for the order, and how many repeated shingles of them are ranked.
 SAMPLE, RANKED = 20_000, 200_000
-#: Rounds in which each shingle compares one text with its others before all that are still apart are compared.
-ROUNDS = 2
+#: Rounds in which each shingle compares a few texts with its others before all that are still apart are compared.
+ROUNDS, FEW = 2, 4
+#: Columns of 64 cells each that hold the parities of a set.
+CELLS = [f"cells{k}" for k in range(8)]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -115,10 +121,44 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the number of shingles in each cell, as one long for each of CELLS."""
+    odd = np.bincount((shingles.view(np.uint64) >> np.uint64(55)).astype(np.int64), minlength=64 * len(CELLS)) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def signatures(texts: DataFrame) -> DataFrame:
+    """(node, fingerprint, CELLS) of every text."""
+    def run(frames):
+        for frame in frames:
+            nodes, prints, cells = [], [], np.empty((frame.num_rows, len(CELLS)), np.int64)
+            for k, t in enumerate(_texts(frame.column("text"))):
+                i, s = hashed(t)
+                nodes.append(i)
+                prints.append(fingerprint(t))
+                cells[k] = parities(s)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), *map(pa.array, cells.T.copy())], ["node", "fingerprint", *CELLS])
+
+    return texts.select("text").mapInArrow(run, "node long, fingerprint long, " + ", ".join(f"{c} long" for c in CELLS))
+
+
+def linked_by_print(signs: DataFrame) -> DataFrame:
+    """(a, b), a < b, of nodes with linked fingerprints: one node stands for a fingerprint, the others of it are paired with that one."""
+    first = cut(signs.groupBy("fingerprint").agg(F.min("node").alias("one")))
+    links = linked(first.select("fingerprint"))
+    of = lambda n: first.select(F.col("fingerprint").alias(n), F.col("one").alias(f"_{n}"))
+    met = links.join(of("a"), "a").join(of("b"), "b").select(F.col("_a").alias("node"), F.col("_b").alias("one"))
+    same = signs.select("node", "fingerprint").join(first, "fingerprint").where("node != one").select("node", "one")
+    return met.unionByName(same).select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
+
+
 def _allowed(pairs: DataFrame) -> DataFrame:
-    """(a, b), a < b, of pairs whose sizes and common place still allow the similarity."""
+    """(a, b), a < b, of pairs whose sizes, common place and parities still allow the similarity."""
+    both = F.col("size") + F.col("size2")
     most = F.least(F.col("size") - F.col("place"), F.col("size2") - F.col("place2"))
-    fits = (5 * F.least("size", "size2") >= 4 * F.greatest("size", "size2")) & (9 * most >= 4 * (F.col("size") + F.col("size2")))
+    unlike = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in CELLS[1:]), F.bit_count(F.col(CELLS[0]).bitwiseXOR(F.col(f"{CELLS[0]}_2"))))
+    # of sets with similarity 4/5 at most a ninth of both sizes is in one of them only
+    fits = (5 * F.least("size", "size2") >= 4 * F.greatest("size", "size2")) & (9 * most >= 4 * both) & (9 * unlike <= both)
     return pairs.where(fits).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
 
@@ -138,21 +178,24 @@ def node_roots(texts: DataFrame, n: int, sets_of, rounds: int = ROUNDS) -> DataF
     """
     places = first_shingles(texts, shingle_order(texts, n))
     # only shingles that several texts begin with can make a pair
-    rows = cut(places.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("_n > 1").drop("_n"))
+    rows = places.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("_n > 1").drop("_n")
+    signs = cut(signatures(texts))
+    rows = cut(rows.join(signs.drop("fingerprint"), "node"))
     root, seen = places.sparkSession.createDataFrame([], "node long, root long"), None
-    for k in range(rounds + 1):
-        labelled = rows.withColumn("label", F.col("node"))
-        if seen is not None:
-            labelled = rows.join(root, "node", "left").select("shingle", "node", "size", "place", F.coalesce("root", "node").alias("label"))
+    for k in range(-1, rounds + 1):
+        if k < 0:
+            pairs = cut(linked_by_print(signs))
+        else:
+            labelled = rows.join(root, "node", "left").select("shingle", "node", "size", "place", *CELLS, F.coalesce("root", "node").alias("label"))
             apart = labelled.groupBy("shingle").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("shingle")
             labelled = cut(labelled.join(apart, "shingle"))
-        other, once = labelled, F.col("label") < F.col("label2")
-        if k < rounds:  # one text of each shingle, another in each round
-            one = F.min_by(F.struct("node", "size", "place", "label"), F.struct(F.xxhash64("node", F.lit(k)), F.col("node")))
-            other, once = labelled.groupBy("shingle").agg(one.alias("_one")).select("shingle", "_one.*"), F.col("label") != F.col("label2")
-        other = other.select("shingle", F.col("node").alias("node2"), F.col("size").alias("size2"), F.col("place").alias("place2"), F.col("label").alias("label2"))
-        pairs = _allowed(labelled.join(other, "shingle").where(once))
-        pairs = cut(pairs if seen is None else pairs.join(small(seen), ["a", "b"], "left_anti"))
+            other, once = labelled, F.col("label") < F.col("label2")
+            if k < rounds:  # a few texts of each shingle, others in each round
+                one = lambda j: F.min_by(F.struct("node", "size", "place", *CELLS, "label"), F.struct(F.xxhash64("node", F.lit(FEW * k + j)), F.col("node")))
+                picked = labelled.groupBy("shingle").agg(F.array(*[one(j) for j in range(FEW)]).alias("_few"))
+                other, once = picked.select("shingle", F.explode(F.array_distinct("_few")).alias("_one")).select("shingle", "_one.*"), F.col("label") != F.col("label2")
+            other = other.select("shingle", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "place", "label")], *[F.col(c).alias(f"{c}_2") for c in CELLS])
+            pairs = cut(_allowed(labelled.join(other, "shingle").where(once)).join(small(seen), ["a", "b"], "left_anti"))
         seen = pairs if seen is None else seen.unionByName(pairs)
         if pairs.isEmpty():
             continue

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from evidence_spark.functions import rules as R
@@ -15,7 +16,7 @@ from evidence_spark.plans.extract import REC_SQL, records
 from evidence_spark.plans.registry import query
 from evidence_spark.plans.tables import joined, table
 from evidence_spark.session import checkpoint_folder
-from evidence_spark.sources.tables import read_records
+from evidence_spark.sources.tables import numbered_lines, read_records
 
 KEYS = ["media_id"]
 
@@ -88,12 +89,17 @@ def _(spark, sf):
 @query("s1_bad_lines", """WITH rows AS (SELECT lang, doc_id, source, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS line FROM documents)
 SELECT lang, line, CASE WHEN source = 'src1' THEN 'cut' ELSE 'list' END AS kind FROM rows WHERE source IN ('src1', 'src3')""")
 def _(spark, sf):
-    """The documents as JSON lines, a file per language: those of one source are cut short, those of another are no objects, those of a third are blank."""
+    """The documents as JSON lines, a folder per language whose files follow each other: those of one source are cut short, those of another are no objects, those of a third are blank."""
     path = f"{checkpoint_folder(spark)}/lines-{uuid.uuid4().hex}"
     line = F.to_json(F.struct("doc_id", "source", "text"))
     value = F.when(F.col("source") == "src1", F.substring(line, 1, 20)).when(F.col("source") == "src3", F.concat(F.lit("["), line, F.lit("]"))).when(F.col("source") == "src2", F.lit("  ")).otherwise(line)
-    docs = table(spark, sf, "documents").repartition("lang").sortWithinPartitions("lang", "doc_id")
+    docs = table(spark, sf, "documents").repartitionByRange("lang", "doc_id").sortWithinPartitions("lang", "doc_id")
     docs.select(value.alias("value"), "lang").write.partitionBy("lang").text(path)
     rows = read_records(spark, path, "doc_id long, source string, text string", "report").where("_corrupt is not null")
     kind = F.when(F.startswith(F.col("_corrupt"), F.lit("[")), "list").otherwise("cut")
-    return rows.select(F.regexp_extract("_file", "lang=([^/]*)/", 1).alias("lang"), F.col("_line").alias("line"), kind.alias("kind"))
+    folder = F.regexp_extract("_file", "lang=([^/]*)/", 1)
+    # lines in the earlier files of a folder; a row a file
+    sizes = numbered_lines(spark, path).groupBy("_file").agg(F.max("_line").alias("_n"))
+    earlier = F.sum("_n").over(Window.partitionBy(folder).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.join(sizes.select("_file", F.coalesce(earlier, F.lit(0)).alias("_earlier")), "_file")
+    return rows.select(folder.alias("lang"), (F.col("_line") + F.col("_earlier")).alias("line"), kind.alias("kind"))

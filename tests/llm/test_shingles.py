@@ -81,3 +81,34 @@ def test_stage_on_given_documents(spark):
     want = [rows[k][0] for k in sorted(set(brute_groups([t for _, t in rows])))]
     got = C.one_of_each(spark, df, "")
     assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == want
+
+
+def test_stage_starts_from_simhash_links(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(S, "linked", lambda prints, whole=S.linked: asked.append(prints.count()) or whole(prints))
+    texts = planted(7)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in C.one_of_each(spark, df, "").collect()) == sorted(set(brute_groups(texts)))
+    assert len(asked) == 1 and asked[0] > 30
+
+
+def test_unlike_texts_with_a_common_line_are_not_all_compared(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(5000)]
+    line = [f"x{k}" for k in range(60)]
+    texts = [" ".join(line + [rng.choice(words) for _ in range(45)]) for _ in range(120)]
+    compared = []
+    monkeypatch.setattr(S, "_verified", lambda pairs, sets_of, whole=S._verified: compared.append(pairs.count()) or whole(pairs, sets_of))
+    monkeypatch.setattr(S, "shingle_order", lambda *a: (S.np.empty(0, S.np.int64),) * 2)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert S.keep_one(df).count() == len(set(brute_groups(texts))) == 120
+    assert sum(compared) < 120
+
+
+def test_parities_never_exceed_the_difference(spark):
+    rng = S.np.random.default_rng(2)
+    for n in (1, 5, 80, 2000):
+        a = rng.integers(-2**63, 2**63 - 1, n)
+        b = S.np.concatenate([a[: n // 2], rng.integers(-2**63, 2**63 - 1, n // 3)])
+        unlike = int(S.np.bitwise_count((S.parities(a) ^ S.parities(b)).view(S.np.uint64)).sum())
+        assert unlike <= len(set(a.tolist()) ^ set(b.tolist()))
