@@ -15,6 +15,7 @@ from evidence_spark.operators.corpus import corpus_claims
 from evidence_spark.plans import duck as D
 from evidence_spark.plans.registry import query
 from evidence_spark.plans.tables import CUES_SQL, cues, joined, table
+from evidence_spark.session import cut
 
 # --- corpus claims as the common base ---------------------------------------------------------
 
@@ -75,7 +76,8 @@ _VIEWS = {
 @query("r1_top_claims", f"WITH {CLAIMS_SQL} " + " UNION ALL ".join(
     f"(SELECT '{v}' AS view, claim_id, round(importance_score, 4) AS importance_score FROM claims WHERE {w} ORDER BY importance_score DESC, novelty_score DESC, claim_id LIMIT {n})" for v, (w, n) in _VIEWS.items()))
 def _(spark, sf):
-    c = claims(spark, sf)
+    # what the views need is worked out once, not once a view
+    c = cut(claims(spark, sf).select("claim_id", "importance_score", "novelty_score", "non_consensus_score", "claim_type", "value_types", "needs_verification", "confidence"))
     out = None
     for v in _VIEWS:
         part = C.top_claims(c, v).select(F.lit(v).alias("view"), "claim_id", "importance_score")

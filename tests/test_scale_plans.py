@@ -98,3 +98,24 @@ def test_blocks_meet_by_cells_with_each_vector_once(spark):
                         want[i, s, j, t] = sum(x * y for x, y in zip(unit([r[4] for r in a[i: i + s]]), unit([r[4] for r in b[j: j + t]])))
     rows = got.collect()
     assert len(rows) == len(want) > 100 and all(abs(want[r["i"], r["s"], r["j"], r["t"]] - r["raw"]) < 1e-6 for r in rows)
+
+
+def test_top_claims_are_made_once_for_all_views(spark, monkeypatch):
+    from evidence_spark.operators import claims as C
+    from evidence_spark.plans import extract as E
+    from evidence_spark.plans.registry import QUERIES
+
+    seen = spark.sparkContext.accumulator(0)
+    docs = spark.createDataFrame([(k, f"s{k % 3}", f"s{k % 3}", "en", f"The model costs {k} dollars in the factory when it was sold with parts to the far markets.", k) for k in range(12)], "section_id long, source_id string, speaker string, family string, text string, published_at long")
+
+    def counted(rows):
+        for r in rows:
+            seen.add(r.num_rows)
+            yield r
+
+    monkeypatch.setattr(E, "sections", lambda *_: docs.mapInArrow(counted, docs.schema))
+    got = QUERIES["r1_top_claims"](spark, "").collect()
+    assert seen.value == 12
+    c = E.corpus_claims(docs)
+    want = [(v, r.claim_id) for v in E._VIEWS for r in C.top_claims(c, v).collect()]
+    assert want and sorted((r.view, r.claim_id) for r in got) == sorted(want)
