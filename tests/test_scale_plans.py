@@ -119,3 +119,13 @@ def test_top_claims_are_made_once_for_all_views(spark, monkeypatch):
     c = E.corpus_claims(docs)
     want = [(v, r.claim_id) for v in E._VIEWS for r in C.top_claims(c, v).collect()]
     assert want and sorted((r.view, r.claim_id) for r in got) == sorted(want)
+
+
+def test_independence_deals_rows_once(spark):
+    from evidence_spark.operators import rollups as G
+
+    rows = [(1, "a", "x"), (1, "a", "y"), (1, "b", None), (1, None, "unknown"), (2, "unknown", ""), (2, None, None), (None, "a", "x"), (None, "a", "z")]
+    got = G.independence(spark.createDataFrame(rows, "k long, s string, o string"), "k", ["s", "o"])
+    text = got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert len(dealt(got)) == 1 and "Expand" not in text
+    assert sorted((str(r.k), r.independent_s_count, r.independent_o_count) for r in got.collect()) == [("1", 2, 2), ("2", 0, 0), ("None", 1, 2)]
