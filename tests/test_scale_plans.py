@@ -129,3 +129,29 @@ def test_independence_deals_rows_once(spark):
     text = got._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert len(dealt(got)) == 1 and "Expand" not in text
     assert sorted((str(r.k), r.independent_s_count, r.independent_o_count) for r in got.collect()) == [("1", 2, 2), ("2", 0, 0), ("None", 1, 2)]
+
+
+def test_bad_lines_of_a_language_in_several_files(spark, tmp_path):
+    import glob
+    import os
+
+    from evidence_spark.plans import sourced  # noqa: F401
+    from evidence_spark.plans.registry import QUERIES
+    from evidence_spark.session import checkpoint_folder
+
+    rows = [(k, f"src{k % 4}", "en" if k % 10 else "de", f"text {k}") for k in range(200)]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted((r.lang, r.line, r.kind) for r in QUERIES["s1_bad_lines"](spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = []
+    for lang in ("de", "en"):
+        for line, r in enumerate((r for r in rows if r[2] == lang), 1):
+            if r[1] in ("src1", "src3"):
+                want.append((lang, line, "cut" if r[1] == "src1" else "list"))
+    assert got == sorted(want)
+    folders = glob.glob(checkpoint_folder(spark).removeprefix("file:").rstrip("/") + "/**/lines-*", recursive=True)
+    latest = max(folders, key=os.path.getmtime)
+    assert len(glob.glob(f"{latest}/lang=en/*.txt")) > 1
