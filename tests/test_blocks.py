@@ -1,9 +1,11 @@
 """What large rectangles, passages and pages send between tasks."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from evidence_spark.operators import tiles as L
+from evidence_spark.operators import vectors as V
 
 
 def unit(seed, n, dim=5):
@@ -20,3 +22,17 @@ def test_a_tile_is_sent_once_to_a_block(spark):
     got = L.similar_pairs(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "idx long, vector array<double>"), 0.2, bytes_=80).collect()
     m = np.round(np.clip(x @ x.T, -1, 1), 6)
     assert {(r.left, r.right) for r in got} == {(i, j) for i in range(60) for j in range(i + 1, 60) if m[i, j] >= 0.2}
+
+
+def test_long_recordings_send_tiles_to_few_blocks(spark, monkeypatch):
+    monkeypatch.setattr(V, "TILE", 4)
+    a, b = unit(2, 100), unit(3, 90)
+    frame = lambda x: spark.createDataFrame([(1, i, v.tolist()) for i, v in enumerate(x)], "media_id long, idx long, vector array<double>")
+    rows = V._tile_pairs(frame(a), frame(b), ["media_id"])
+    assert rows.count() <= (25 + 23) * V.SIDES < 25 * 23  # one row a pair before
+    m = np.round(np.clip(a @ b.T, -1, 1), 6)
+    top = {("a", i): v.mean() for i, v in enumerate(-np.sort(-m, axis=1)[:, :4])} | {("b", j): v.mean() for j, v in enumerate(-np.sort(-m.T, axis=1)[:, :4])}
+    got = {(r.side, r.idx): r.baseline for r in V.rectangle_baselines(frame(a), frame(b)).collect()}
+    assert got.keys() == top.keys() and all(got[k] == pytest.approx(top[k], abs=1e-9) for k in top)
+    cost = np.sort(np.round(1 - m, 9).ravel())
+    assert V.rectangle_rank(frame(a), frame(b), 0.2, "raw_cost").first().value == cost[round((len(cost) - 1) * 0.2)]
