@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from evidence_spark.operators import tiles as L
 from evidence_spark.operators import vectors as V
+from evidence_spark.plans import registry
+from evidence_spark.plans import similar as S
 
 
 def unit(seed, n, dim=5):
@@ -36,3 +38,14 @@ def test_long_recordings_send_tiles_to_few_blocks(spark, monkeypatch):
     assert got.keys() == top.keys() and all(got[k] == pytest.approx(top[k], abs=1e-9) for k in top)
     cost = np.sort(np.round(1 - m, 9).ravel())
     assert V.rectangle_rank(frame(a), frame(b), 0.2, "raw_cost").first().value == cost[round((len(cost) - 1) * 0.2)]
+
+
+def test_only_grams_of_passages_are_kept(spark, tmp_path, monkeypatch):
+    long = " ".join(f"word{n * 7919 % 1000}" for n in range(400))
+    spark.createDataFrame([(1, "the planted passage"), (2, "short")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(7, long + " the planted passage " + long), (8, long), (9, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    sizes = []
+    keep = S.cut
+    monkeypatch.setattr(S, "cut", lambda df: sizes.append((out := keep(df)).count()) or out)
+    rows = registry.QUERIES["t2_block_ratio"](spark, str(tmp_path)).collect()
+    assert [(r.item_id, r.doc_id) for r in rows] == [(1, 7)] and max(sizes) < 40
