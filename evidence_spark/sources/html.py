@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evidence_spark.functions.text import norm_text, squeeze, strip
 from evidence_spark.operators.scan import islands, scan
+from evidence_spark.session import cut, small
 from evidence_spark.sources.transcripts import MARK, unescape
 
 # fixed values
@@ -45,11 +46,15 @@ def turns_from_html(pages: DataFrame, aliases: DataFrame | None = None, key: str
     name = F.trim(F.regexp_replace(F.lower(F.regexp_extract("text", SPEAKER, 1)), "[^a-z ]", ""))
     b = b.withColumn("heading", heading).withColumn("_alias", F.when(~heading & (name != ""), name))
     if aliases is not None:
-        b = b.join(aliases.select(F.col("alias").alias("_alias"), F.col("speaker").alias("named")), "_alias", "left")
+        # blocks without a name are most of all and match nothing: a salt deals them over the tasks
+        salt = F.when(F.col("_alias").isNull(), F.xxhash64(key, "block_no")).otherwise(F.lit(0))
+        known = small(cut(aliases.select(F.col("alias").alias("_alias"), F.col("speaker").alias("named"), F.lit(0).cast("long").alias("_salt"))))
+        b = b.withColumn("_salt", salt).join(known, ["_alias", "_salt"], "left").drop("_salt")
     else:
         b = b.withColumn("named", F.lit(None).cast("string"))
     b = b.withColumn("body", F.when(F.col("named").isNotNull(), F.coalesce(
         F.nullif(strip(F.regexp_extract("text", SPEAKER, 2)), F.lit("")), F.col("text"))).otherwise(F.col("text")))
+    b = cut(b)  # pages are parsed once, not for every running value below
     keys, order = [key], ["block_no"]
     speaker = F.when(F.col("heading"), F.struct(F.lit(None).cast("string").alias("s"))).when(F.col("named").isNotNull(), F.struct(F.col("named").alias("s")))
     title = F.when(F.col("heading"), F.col("text"))

@@ -8,6 +8,7 @@ from evidence_spark.operators import tiles as L
 from evidence_spark.operators import vectors as V
 from evidence_spark.plans import registry
 from evidence_spark.plans import similar as S
+from evidence_spark.sources import html as H
 
 
 def unit(seed, n, dim=5):
@@ -49,3 +50,14 @@ def test_only_grams_of_passages_are_kept(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(S, "cut", lambda df: sizes.append((out := keep(df)).count()) or out)
     rows = registry.QUERIES["t2_block_ratio"](spark, str(tmp_path)).collect()
     assert [(r.item_id, r.doc_id) for r in rows] == [(1, 7)] and max(sizes) < 40
+
+
+def test_blocks_without_a_name_do_not_meet_in_one_task(spark, monkeypatch):
+    pages = spark.createDataFrame([(p, "".join(f"<p>plain {n}</p>" for n in range(20)) + "<p>Ann: hello</p><p>more</p>") for p in range(3)], "source_id long, html string")
+    aliases = spark.createDataFrame([("ann", "Ann B")], "alias string, speaker string")
+    for hint in (True, False):
+        if not hint:
+            monkeypatch.setattr(H, "small", lambda df: df)
+        turns = H.turns_from_html(pages, aliases)
+        assert {(r.source_id, r.speaker, r.text.count("plain")) for r in turns.collect()} == {(p, s, n) for p in range(3) for s, n in (("unknown", 20), ("Ann B", 0))}
+        assert "_salt" in turns._jdf.queryExecution().optimizedPlan().toString()
