@@ -15,19 +15,64 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evidence_spark.llm.tokens import byte_alphabet
 from evidence_spark.session import cut
 
-#: Words kept with their ids by a worker, about 40 MB. A full table takes no more, and begins anew after FORGOTTEN words that it did not hold.
-KNOWN, FORGOTTEN = 200_000, 2_000_000
-#: A word is kept from its second sighting on: marks of words seen once, a byte each, and how many may be set before they are wiped.
-MARKS, SIGHTED = 1 << 22, 1_000_000
+#: Words in each of a worker's two tables, about 40 MB together, and the characters of the longest word that is kept.
+KNOWN, LONGEST = 150_000, 64
 #: Pieces that one task packs again; more are dealt to several tasks.
 TOGETHER = 200_000
-#: A lower-case Latin-1 letter run and a run of ASCII signs without apostrophe: the pre-tokenizer cuts exactly between them.
-SIMPLE = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Lower-case Latin-1 letters, and ASCII signs without apostrophe: the pre-tokenizer cuts exactly between a run of the ones and a run of the others.
+LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 PLACED = "doc_id {id}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, open boolean"
 
 
+class Words(dict):
+    """Token ids of words as little-endian unsigned 32-bit bytes. Words that it does not hold are cut by the library when they are looked up.
+
+    New words go into this table; a full one becomes the earlier table, and words found there return into this one. A letter run and the
+    signs behind it are one pre-token each, so they are cut by the library's model, without its search for pre-tokens.
+    """
+
+    def __init__(self, library):
+        super().__init__()
+        self.library, self.tokenize = library, library.model.tokenize
+        self.earlier: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {"": b""}
+        alphabet = byte_alphabet()
+        self.letters = {code: "".join(alphabet[b] for b in chr(code).encode()) for code in range(0xDF, 0x100)}
+        self.bytes_of = [k.to_bytes(4, "little") for k in range(library.get_vocab_size())]
+
+    def _run(self, run: str) -> bytes:
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in self.tokenize(run)])
+
+    def _cut(self, word: str) -> bytes:
+        letters = word.rstrip(SIGNS)
+        signs = word[len(letters):]
+        letters = letters.lower()
+        if "<|" in word or not (letters.isascii() and letters.isalpha() or LETTERS.fullmatch(letters)):
+            return np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        after = self.signs.get(signs)
+        if after is None:
+            after = self._run(signs)
+            if len(self.signs) < 10_000 and len(signs) <= LONGEST:
+                self.signs[signs] = after
+        return self._run(letters if letters.isascii() else letters.translate(self.letters)) + after
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.earlier.get(word)
+        if ids is None:
+            ids = self._cut(word)
+        if len(word) <= LONGEST:
+            if len(self) >= KNOWN:
+                self.earlier = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Ids:
     """Token ids of texts as little-endian unsigned 32-bit bytes, put together from those of their words.
 
@@ -36,80 +81,13 @@ class Ids:
     """
 
     def __init__(self, spec: str):
-        import json
-
         from tokenizers import Tokenizer
 
-        data = json.loads(spec)
-        self.library = Tokenizer.from_str(spec)
-        self.ends = np.zeros(1 + max([*data["model"]["vocab"].values(), *(t["id"] for t in data["added_tokens"])]), bool)
-        self.ends[[v for k, v in data["model"]["vocab"].items() if k.endswith("</w>")]] = True
-        self._clear()
-
-    def _clear(self) -> None:
-        self.words: dict[str, bytes] = {"": b""}
-        self.signs: dict[str, bytes] = {"": b""}
-        self.marks, self.sighted, self.missed = bytearray(MARKS), 0, 0
-
-    def _learn(self, words: set[str]) -> None:
-        """Put the ids of new words into the table."""
-        cuts = {w: m.groups() if (m := SIMPLE.fullmatch(w.lower())) and "<|" not in w else None for w in words}
-        known, signs = self.words, self.signs
-        if len(signs) > 10_000:
-            signs.clear()
-            signs[""] = b""
-        new = list({c[0] for c in cuts.values() if c and c[0] not in known} | {c[1] for c in cuts.values() if c and c[1] not in signs})
-        parts = {}
-        if new:  # each part is one pre-token and so ends with the only word-final token in it
-            ids = np.array(self.library.encode(" ".join(new), add_special_tokens=False).ids, np.uint32)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            flat, at = ids.astype("<u4").tobytes(), 0
-            for p, stop in zip(new, (4 * stops).tolist(), strict=True):
-                parts[p] = flat[at:stop]
-                at = stop
-        hard = [w for w, c in cuts.items() if c is None]
-        for w, e in zip(hard, self.library.encode_batch(hard, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-        for w, c in cuts.items():
-            if c:
-                if c[1] in parts:
-                    signs[c[1]] = parts[c[1]]
-                known[w] = (known[c[0]] if c[0] in known else parts[c[0]]) + signs[c[1]]
-
-    def _forget(self, words: set[str]) -> None:
-        """Take out of the table those of some new words that were not seen before, or all of them if it is full."""
-        marks = self.marks
-        if len(self.words) > KNOWN:
-            self.missed += len(words)
-            for w in words:
-                del self.words[w]
-            return
-        for w in words:
-            k = hash(w) & (MARKS - 1)
-            if not marks[k]:
-                marks[k] = 1
-                self.sighted += 1
-                del self.words[w]
-        if self.sighted > SIGHTED:
-            self.marks, self.sighted = bytearray(MARKS), 0
+        self.words = Words(Tokenizer.from_str(spec))
 
     def of(self, texts: list[str]) -> list[bytes]:
-        cut_up = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if self.missed > FORGOTTEN:
-            self._clear()
-        out = []
-        for ws in cut_up:
-            try:
-                out.append(b"".join([self.words[w] for w in ws]))
-            except KeyError:
-                out.append(None)
-        late = [k for k, ids in enumerate(out) if ids is None]
-        new = {w for k in late for w in cut_up[k] if w not in self.words}
-        self._learn(new)
-        for k in late:
-            out[k] = b"".join([self.words[w] for w in cut_up[k]])
-        self._forget(new)
-        return out
+        ids = self.words.__getitem__  # of a subclass of dict, so it calls __missing__
+        return [b"".join(map(ids, t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) for t in texts]
 
 
 _IDS: dict[int, Ids] = {}

@@ -114,3 +114,20 @@ def test_rule_makes_the_sum_of_squares_smallest():
         assert offset == capacity - state[at]
         state[at] -= length
         assert squares(state) == min(squares(o) for o in options)
+
+
+def test_words_are_cut_once_and_their_tables_stay_small(spec, library, monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN", 50)
+    ids, cut = packing.Ids(spec), []
+    monkeypatch.setattr(packing.Words, "_cut", lambda self, word, whole=packing.Words._cut: cut.append(word) or whole(self, word))
+    rng = np.random.default_rng(3)
+    signs = [*"aAbzéÀß'.,!<|>0\t\x0b ", "the", "Straße", "<|endoftext|>", "İ", "K"]
+    texts = [*HARD, "a word, a WORD, a word,", "x" * 500, *("".join(rng.choice(signs, rng.integers(1, 40))) for _ in range(400))]
+    for t in texts:
+        assert ids.of([t]) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]
+        assert max(len(ids.words), len(ids.words.earlier)) <= 50
+    cut.clear()
+    ids.of(["once again once", "again"])
+    ids.of(["again once"])
+    assert sorted(cut) == ["again", "once"]
+    assert all(len(w) <= packing.LONGEST for w in [*ids.words, *ids.words.earlier])
