@@ -15,7 +15,7 @@ pairs. Keys with more than BLOCK fingerprints are split into blocks that are com
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +27,8 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 BITS = 4
 #: Fingerprints of one key that one task compares at once.
 BLOCK = 1024
+#: Rows of such a comparison at a time, and fingerprints keyed at a time.
+ROWS, KEYED = 64, 500
 
 
 # --- fingerprints -----------------------------------------------------------------------------------------------
@@ -51,26 +53,27 @@ def fingerprint(text: bytes, words: int = 4, seed: int = 42, chunk: int = 1 << 1
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def _prints(texts: pa.Array, words: int) -> np.ndarray:
+    return np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", words) for t in texts.cast(pa.large_binary())], np.uint64).view(np.int64)
+
+
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     """doc_id and fingerprint (a long with the 64 bits) of every row. Null and empty texts have fingerprint zero."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(frames):
-        import pyarrow as pa
-
         for frame in frames:
             if frame.num_rows:
-                prints = np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", words) for t in frame.column("text").cast(pa.large_binary())], np.uint64)
-                yield pa.RecordBatch.from_arrays([frame.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
+                yield pa.RecordBatch.from_arrays([frame.column("doc_id"), pa.array(_prints(frame.column("text"), words))], ["doc_id", "fingerprint"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint long")
 
 
 def print_column(text: Column, words: int = 4) -> Column:
     """The fingerprint of a text column."""
-    @F.pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint((t or "").encode(), words) for t in texts], np.uint64).view(np.int64))
+    @F.arrow_udf("long")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(_prints(texts, words))
 
     return run(text)
 
@@ -147,7 +150,9 @@ def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def stars(prints: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
     """(fingerprint, smallest of its component) for the links among some fingerprints, without those that are alone."""
-    near = differing(prints[:, None], prints[None, :]) <= bits
+    near = np.empty((len(prints), len(prints)), bool)
+    for k in range(0, len(prints), ROWS):  # eight bytes a pair for a few rows only
+        near[k: k + ROWS] = differing(prints[k: k + ROWS, None], prints[None, :]) <= bits
     left, out = np.ones(len(prints), bool), []
     for k in np.argsort(prints, kind="stable").tolist():
         if left[k]:
@@ -162,8 +167,6 @@ def stars(prints: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
 
 def _same_key(frames, bits: int):
     """From rows sorted by key: links (a, b) of fingerprints with a common key, and blocks (key, block, members) of keys with too many."""
-    import pyarrow as pa
-
     def batch(links, blocks):
         n, m = len(links), len(blocks)
         a, b = links.T if n else ([], [])
@@ -226,22 +229,18 @@ def linked(prints: DataFrame, bits: int = BITS) -> DataFrame:
         raise ValueError("the keys are built for at most four differing bits")
 
     def keyed(frames):
-        import pyarrow as pa
-
         golay = Golay()
         for frame in frames:
             all_prints = frame.column("fingerprint").to_numpy()
-            for k in range(0, len(all_prints), 2000):
-                part = all_prints[k: k + 2000]
+            for k in range(0, len(all_prints), KEYED):
+                part = all_prints[k: k + KEYED]
                 who, keys = fuzzy_keys(part, golay)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[who])], ["key", "fingerprint"])
 
     def crossed(frames):
-        import pyarrow as pa
-
         for frame in frames:
-            for x, y in zip(frame.column("members").to_pylist(), frame.column("others").to_pylist(), strict=True):
-                found = stars(np.array([*x, *y], np.int64), bits)
+            for x, y in zip(frame.column("members"), frame.column("others"), strict=True):
+                found = stars(np.concatenate([x.values.to_numpy(), y.values.to_numpy()]), bits)
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
 
     rows = prints.select("fingerprint").mapInArrow(keyed, "key long, fingerprint long").repartition("key").sortWithinPartitions("key")

@@ -147,3 +147,19 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.root for r in S.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 160)}, 201: 200}
     assert S.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_tasks_need_little_memory():
+    """Python tasks load no pandas, and a comparison of two full blocks holds one byte a pair, not eight."""
+    import subprocess
+    import sys
+    import tracemalloc
+
+    subprocess.run([sys.executable, "-c", "import evidence_spark.llm.simhash, evidence_spark.llm.shingles, sys; assert 'pandas' not in sys.modules"], check=True)
+    prints = 5 ^ (1 << np.random.default_rng(2).integers(0, 62, 2 * S.BLOCK))
+    tracemalloc.start()
+    found = S.stars(prints)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {b for _, b in found} == {int(prints.min())} and {a for a, _ in found} | {int(prints.min())} == set(prints.tolist())
+    assert peak < 3 * len(prints) ** 2
